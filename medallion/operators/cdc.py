@@ -19,17 +19,18 @@ Keep = Literal["first", "latest"]
 START_AT = "__START_AT"
 END_AT = "__END_AT"
 
-# Above this many versions a key's history is ordered by several tasks.
-HOT_VERSIONS = 2_000_000
+# Above this many rows a key's history is ordered by several tasks.
+HOT_ROWS = 5_000_000
 
 
 @dataclass(frozen=True)
 class CdcSpec:
     """A keyed target described as data.
 
-    ``columns`` is what the target shows. ``collapse`` says its rows repeat
-    heavily in the source, as a dimension's do in a wide table; they are then
-    merged by hash aggregation before any ordering takes place.
+    ``columns`` is what the target shows; ``sequence_by`` and ``tie_break`` are
+    read besides them. ``collapse`` says its rows repeat heavily in the source,
+    as a dimension's do in a wide table; they are then merged by hash
+    aggregation before any ordering takes place.
     """
 
     name: str
@@ -43,8 +44,9 @@ class CdcSpec:
 
     @property
     def source_columns(self) -> list[str]:
-        """Columns to read: the shown ones, plus the sequence if it is not shown."""
-        return list(dict.fromkeys([*self.columns, *self.keys, self.sequence_by]))
+        """Columns to read: the shown ones and those that order them."""
+        ordering = (self.sequence_by, *(self.tie_break or ()))
+        return list(dict.fromkeys([*self.columns, *self.keys, *ordering]))
 
 
 def _all_present(columns: Sequence[str]) -> Column:
@@ -104,19 +106,18 @@ def dedup_first(
     return _one_per_key(df, keys, _total_order(df, keys, order_by, None), keep)
 
 
-def collapse_rows(
-    df: DataFrame, keys: Sequence[str], sequence_by: str, keep: Keep = "latest"
-) -> DataFrame:
-    """Merge rows equal in everything but the sequence, keeping its last (first) value.
+def collapse_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], keep: Keep) -> DataFrame:
+    """Merge rows equal in all but the leading order column, keeping its best value.
 
-    All output columns but the sequence are grouping columns and the sequence is
-    a plain min or max, which Spark runs as a map-side hash aggregation.
+    The rest are grouping columns and the leading one is a plain min or max, which
+    Spark runs as a map-side hash aggregation instead of a sort.
     """
-    if sequence_by in keys:
-        return df.distinct()
+    if not order:
+        return df.select(*keys).distinct()
+    lead = order[0]
     pick = F.max if keep == "latest" else F.min
-    same = [c for c in df.columns if c != sequence_by]
-    return df.groupBy(*same).agg(pick(sequence_by).alias(sequence_by)).select(*df.columns)
+    same = [c for c in df.columns if c != lead]
+    return df.groupBy(*same).agg(pick(lead).alias(lead)).select(*df.columns)
 
 
 def scd1(
@@ -134,9 +135,10 @@ def scd1(
     Rows without key or sequence are left out; see :func:`unsequenced`.
     """
     rows = sequenced(df, keys, sequence_by)
+    order = _total_order(rows, keys, [sequence_by], tie_break)
     if collapse:
-        rows = collapse_rows(rows, keys, sequence_by, keep)
-    return _one_per_key(rows, keys, _total_order(rows, keys, [sequence_by], tie_break), keep)
+        rows = collapse_rows(rows, keys, order, keep)
+    return _one_per_key(rows, keys, order, keep)
 
 
 def versions(
@@ -154,20 +156,32 @@ def versions(
     return _one_per_key(rows, identity, _total_order(rows, identity, [], tie_break), "latest")
 
 
-def _next_start(rows: DataFrame, keys: Sequence[str], sequence_by: str) -> DataFrame:
-    order = Window.partitionBy(*keys).orderBy(sequence_by)
-    return rows.withColumn(END_AT, F.lead(sequence_by).over(order))
+def _history(
+    rows: DataFrame, keys: Sequence[str], sequence_by: str, tie_break: Sequence[str] | None
+) -> DataFrame:
+    """Versions and their end in one shuffle and one sort per key.
+
+    Rows sharing a sequence are neighbours, the preferred one last: it is the one
+    whose successor has another sequence, and that sequence is its end.
+    """
+    ties = _total_order(rows, [*keys, sequence_by], [], tie_break)
+    order = Window.partitionBy(*keys).orderBy(sequence_by, *ties)
+    dated = rows.withColumn(END_AT, F.lead(sequence_by).over(order))
+    return dated.where(F.col(END_AT).isNull() | (F.col(END_AT) != F.col(sequence_by)))
 
 
-def _next_start_hot(rows: DataFrame, keys: Sequence[str], sequence_by: str) -> DataFrame:
-    """``_next_start`` for keys too long for one task.
+def _history_in_slices(
+    rows: DataFrame, keys: Sequence[str], sequence_by: str, tie_break: Sequence[str] | None
+) -> DataFrame:
+    """The same for keys too long for one task.
 
-    Range partitioning cuts a key's history into slices that are consecutive in
-    time. Within a slice the next start is the next row; a slice's last row takes
-    the first row of the following slice. Only slice ends meet in one group, two
-    per slice; inner rows keep the slice's own group.
+    Copies merge before the shuffle, and range partitioning cuts a key's history
+    into slices that are consecutive in time. Within a slice the end is the next
+    row's start; a slice's last row takes the first row of the following slice.
+    Only slice ends meet in one group, two per slice; inner rows stay spread.
     """
-    sliced = rows.repartitionByRange(*keys, sequence_by).withColumn(
+    merged = versions(rows, keys, sequence_by, tie_break)
+    sliced = merged.repartitionByRange(*keys, sequence_by).withColumn(
         "__slice", F.spark_partition_id()
     )
     within = Window.partitionBy(*keys, "__slice").orderBy(sequence_by)
@@ -189,25 +203,28 @@ def scd2(
     sequence_by: str,
     tie_break: Sequence[str] | None = None,
     collapse: bool = False,
-    hot_versions: int = HOT_VERSIONS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Type 2: every version with ``__START_AT`` and ``__END_AT`` (null while current).
 
     There is one version per distinct (key, sequence). Keys with more than
-    ``hot_versions`` versions take a second path that spreads their history; AQE
-    drops that path when no such key turns up.
+    ``hot_rows`` rows take a second path that spreads their history. They are
+    found by a count that reads only the keys, there are at most rows / hot_rows
+    of them, and AQE drops the second path when there are none.
     """
-    history = versions(df, keys, sequence_by, tie_break, collapse)
+    rows = sequenced(df, keys, sequence_by)
+    if collapse:
+        rows = rows.distinct()
     hot_keys = (
-        history.groupBy(*keys)
+        rows.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("__n"))
-        .where(F.col("__n") > hot_versions)
+        .where(F.col("__n") > hot_rows)
         .select(*keys)
     )
-    cold = history.join(hot_keys, list(keys), "left_anti")
-    hot = history.join(hot_keys, list(keys), "left_semi")
-    dated = _next_start(cold, keys, sequence_by).unionByName(
-        _next_start_hot(hot, keys, sequence_by)
+    cold = rows.join(hot_keys, list(keys), "left_anti")
+    hot = rows.join(hot_keys, list(keys), "left_semi")
+    dated = _history(cold, keys, sequence_by, tie_break).unionByName(
+        _history_in_slices(hot, keys, sequence_by, tie_break)
     )
     return dated.withColumn(START_AT, F.col(sequence_by)).select(*df.columns, START_AT, END_AT)
 

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 10_000
+BROADCAST_ROWS = 100_000
 
 
 @dataclass(frozen=True)

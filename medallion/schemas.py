@@ -1,90 +1,125 @@
-"""Declared schemas: the ride event, its lookups, and the envelopes they travel in."""
+"""Declared schemas: the ride event, its lookups, and the envelopes they travel in.
 
-from __future__ import annotations
-
-from pyspark.sql.types import StructType
-
-
-def _schema(ddl: str) -> StructType:
-    return StructType.fromDDL(ddl)
-
-
-# 43 fields, grouped as identifiers, foreign keys, passenger, driver, vehicle,
-# places, trip, money, rating.
-RIDE = _schema(
-    """
-    ride_id string, confirmation_number string, passenger_id string,
-    driver_id string, vehicle_id string, pickup_location_id string,
-    dropoff_location_id string,
-
-    vehicle_type_id bigint, vehicle_make_id bigint, payment_method_id bigint,
-    ride_status_id bigint, pickup_city_id bigint, dropoff_city_id bigint,
-    cancellation_reason_id bigint,
-
-    passenger_name string, passenger_email string, passenger_phone string,
-
-    driver_name string, driver_rating double, driver_phone string,
-    driver_license string,
-
-    vehicle_model string, vehicle_color string, license_plate string,
+All fields are nullable.
+"""
 
-    pickup_address string, pickup_latitude double, pickup_longitude double,
-    dropoff_address string, dropoff_latitude double, dropoff_longitude double,
-
-    distance_miles double, duration_minutes bigint, booking_timestamp timestamp,
-    pickup_timestamp string, dropoff_timestamp string,
-
-    base_fare double, distance_fare double, time_fare double,
-    surge_multiplier double, subtotal double, tip_amount double,
-    total_fare double,
+from __future__ import annotations
 
-    rating double
-    """
+from pyspark.sql.types import (
+    BinaryType,
+    BooleanType,
+    DataType,
+    DoubleType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampType,
 )
 
-MAP_VEHICLE_MAKES = _schema("vehicle_make_id bigint, vehicle_make string")
-MAP_VEHICLE_TYPES = _schema(
-    "vehicle_type_id bigint, vehicle_type string, description string, "
-    "base_rate double, per_km double, per_minute double"
-)
-MAP_RIDE_STATUSES = _schema("ride_status_id bigint, ride_status string, is_completed boolean")
-MAP_PAYMENT_METHODS = _schema(
-    "payment_method_id bigint, payment_method string, is_card boolean, requires_auth boolean"
-)
-MAP_CITIES = _schema(
-    "city_id bigint, city string, state string, region string, updated_at timestamp"
+STRING, LONG, DOUBLE = StringType(), LongType(), DoubleType()
+INT, BOOL, TIME, BYTES = IntegerType(), BooleanType(), TimestampType(), BinaryType()
+
+
+def struct(**fields: DataType) -> StructType:
+    """A struct of nullable fields in the order given."""
+    return StructType([StructField(name, kind, True) for name, kind in fields.items()])
+
+
+# 43 fields.
+RIDE = struct(
+    # identifiers
+    ride_id=STRING,
+    confirmation_number=STRING,
+    passenger_id=STRING,
+    driver_id=STRING,
+    vehicle_id=STRING,
+    pickup_location_id=STRING,
+    dropoff_location_id=STRING,
+    # foreign keys
+    vehicle_type_id=LONG,
+    vehicle_make_id=LONG,
+    payment_method_id=LONG,
+    ride_status_id=LONG,
+    pickup_city_id=LONG,
+    dropoff_city_id=LONG,
+    cancellation_reason_id=LONG,
+    # passenger
+    passenger_name=STRING,
+    passenger_email=STRING,
+    passenger_phone=STRING,
+    # driver
+    driver_name=STRING,
+    driver_rating=DOUBLE,
+    driver_phone=STRING,
+    driver_license=STRING,
+    # vehicle
+    vehicle_model=STRING,
+    vehicle_color=STRING,
+    license_plate=STRING,
+    # places
+    pickup_address=STRING,
+    pickup_latitude=DOUBLE,
+    pickup_longitude=DOUBLE,
+    dropoff_address=STRING,
+    dropoff_latitude=DOUBLE,
+    dropoff_longitude=DOUBLE,
+    # trip; only the booking time is parsed
+    distance_miles=DOUBLE,
+    duration_minutes=LONG,
+    booking_timestamp=TIME,
+    pickup_timestamp=STRING,
+    dropoff_timestamp=STRING,
+    # money
+    base_fare=DOUBLE,
+    distance_fare=DOUBLE,
+    time_fare=DOUBLE,
+    surge_multiplier=DOUBLE,
+    subtotal=DOUBLE,
+    tip_amount=DOUBLE,
+    total_fare=DOUBLE,
+    # rating
+    rating=DOUBLE,
 )
-MAP_CANCELLATION_REASONS = _schema(
-    "cancellation_reason_id bigint, cancellation_reason string"
+
+# Bulk history differs from the event in one type: its booking time is text.
+RIDE_HISTORY = struct(
+    **{f.name: STRING if f.name == "booking_timestamp" else f.dataType for f in RIDE.fields}
 )
 
 LOOKUPS: dict[str, StructType] = {
-    "map_vehicle_makes": MAP_VEHICLE_MAKES,
-    "map_vehicle_types": MAP_VEHICLE_TYPES,
-    "map_ride_statuses": MAP_RIDE_STATUSES,
-    "map_payment_methods": MAP_PAYMENT_METHODS,
-    "map_cities": MAP_CITIES,
-    "map_cancellation_reasons": MAP_CANCELLATION_REASONS,
+    "map_vehicle_makes": struct(vehicle_make_id=LONG, vehicle_make=STRING),
+    "map_vehicle_types": struct(
+        vehicle_type_id=LONG,
+        vehicle_type=STRING,
+        description=STRING,
+        base_rate=DOUBLE,
+        per_km=DOUBLE,
+        per_minute=DOUBLE,
+    ),
+    "map_ride_statuses": struct(ride_status_id=LONG, ride_status=STRING, is_completed=BOOL),
+    "map_payment_methods": struct(
+        payment_method_id=LONG, payment_method=STRING, is_card=BOOL, requires_auth=BOOL
+    ),
+    "map_cities": struct(city_id=LONG, city=STRING, state=STRING, region=STRING, updated_at=TIME),
+    "map_cancellation_reasons": struct(cancellation_reason_id=LONG, cancellation_reason=STRING),
 }
 
 # Columns a Kafka source yields.
-KAFKA_ROW = _schema(
-    "key binary, value binary, topic string, partition int, offset bigint, "
-    "timestamp timestamp, timestampType int"
+KAFKA_ROW = struct(
+    key=BYTES,
+    value=BYTES,
+    topic=STRING,
+    partition=INT,
+    offset=LONG,
+    timestamp=TIME,
+    timestampType=INT,
 )
 
 # One entry of a captured-events file; ``body`` holds the JSON payload as text.
-CAPTURE = _schema(
-    "body string, offset string, sequenceNumber bigint, "
-    "enqueuedTimeUtc timestamp, partitionId string"
+CAPTURE = struct(
+    body=STRING, offset=STRING, sequenceNumber=LONG, enqueuedTimeUtc=TIME, partitionId=STRING
 )
 
-MANIFEST = _schema("file string")
-
-# Bulk history differs from the event in one type: its booking time is text.
-RIDE_HISTORY = StructType.fromDDL(
-    ", ".join(
-        f"{f.name} {'string' if f.name == 'booking_timestamp' else f.dataType.simpleString()}"
-        for f in RIDE.fields
-    )
-)
+MANIFEST = struct(file=STRING)
