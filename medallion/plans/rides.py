@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import datetime, timezone
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from medallion.operators.cdc import END_AT, START_AT, CdcSpec, build_target, current
@@ -64,7 +65,12 @@ LOOKUP_ROWS: dict[str, list[tuple]] = {
 
 def default_lookups(spark: SparkSession) -> dict[str, DataFrame]:
     """The six lookup tables from the values above."""
-    return {name: spark.createDataFrame(LOOKUP_ROWS[name], schema) for name, schema in LOOKUPS.items()}
+    lookups = {}
+    for name, schema in LOOKUPS.items():
+        columns = dict(zip(schema.names, zip(*LOOKUP_ROWS[name])))
+        # From Arrow, Spark makes a local relation, whose size its planner knows.
+        lookups[name] = spark.createDataFrame(pa.table({c: list(v) for c, v in columns.items()}), schema)
+    return lookups
 
 
 # table, condition, columns added

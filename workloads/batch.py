@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -188,7 +189,7 @@ def text_flattened(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def labels_to_ids(spark: SparkSession, sf: str) -> DataFrame:
-    ids = spark.createDataFrame([("view", 1), ("click", 2), ("purchase", 3)], "label string, id bigint")
+    ids = spark.createDataFrame(pa.table({"label": ["view", "click", "purchase"], "id": [1, 2, 3]}))
     events = table(spark, sf, "events").select("event_id", "event_type")
     encoded = label_to_id(events, "event_type", ids, "label", "id", "type_id", default=4)
     return encoded.select("event_id", "type_id")

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from medallion.functions.columns import fare_columns
 from medallion.schemas import KAFKA_ROW, RIDE, RIDE_HISTORY
+from medallion.session import work_dir
 from medallion.sources.events import read_events
 from medallion.streaming.publish import to_events
 
@@ -17,9 +17,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table as a stream of files."""
+    """A given table as a stream of files.
+
+    File streams watch folders, so a table that is one file is picked out of the
+    folder it lies in.
+    """
+    file = f"{name}.parquet"
     schema = table(spark, sf_dir, name).schema
-    return read_events(spark, "parquet", schema=schema, path=f"{sf_dir}/{name}.parquet")
+    single = spark.read.schema(schema).option("pathGlobFilter", file).parquet(sf_dir)
+    if single.isEmpty():
+        return read_events(spark, "parquet", schema=schema, path=f"{sf_dir}/{file}")
+    return read_events(spark, "parquet", schema=schema, path=sf_dir, glob=file)
 
 
 def write_json_array_lines(df: DataFrame, path: str, key: str, per_line: int = 1000) -> None:
@@ -137,6 +145,24 @@ def without_zone(df: DataFrame) -> DataFrame:
     return df.withColumns(zoned) if zoned else df
 
 
-def stored(df: DataFrame, path: str) -> tuple[str, StructType]:
-    df.write.parquet(path)
-    return path, df.schema
+_WRITTEN: dict[tuple[str, str, str], str] = {}
+
+
+def written_once(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """``build(spark, sf_dir)`` stored as Parquet, once per application and scale."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _WRITTEN:
+        path = work_dir(spark, name)
+        build(spark, sf_dir).write.parquet(path)
+        _WRITTEN[key] = path
+    return spark.read.parquet(_WRITTEN[key])
+
+
+def raw_rides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The live rides as a stored raw table."""
+    return written_once(spark, sf_dir, "ride_events", ride_events)
+
+
+def bulk_rides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bulk history as a stored table."""
+    return written_once(spark, sf_dir, "ride_history", ride_history)

@@ -25,24 +25,21 @@ from medallion.plans.rides import (
     one_big_table,
     star_readback,
 )
-from medallion.session import work_dir
-from workloads.inputs import ride_events, ride_history, without_zone
+from workloads.inputs import bulk_rides, raw_rides, without_zone, written_once
 
 
 def staged(spark: SparkSession, sf: str) -> DataFrame:
     """Bulk history and parsed live events in one table."""
-    return stage_rides(decode_value(ride_events(spark, sf)), ride_history(spark, sf))
+    return stage_rides(decode_value(raw_rides(spark, sf)), bulk_rides(spark, sf))
 
 
 def obt(spark: SparkSession, sf: str) -> DataFrame:
     return one_big_table(staged(spark, sf), default_lookups(spark))
 
 
-def _stored_obt(spark: SparkSession, sf: str) -> DataFrame:
-    path = work_dir(spark, "silver_obt")
-    wide = obt(spark, sf)
-    wide.write.parquet(path)
-    return spark.read.schema(wide.schema).parquet(path)
+def stored_obt(spark: SparkSession, sf: str) -> DataFrame:
+    """The wide table as stored, which is what the star reads."""
+    return written_once(spark, sf, "silver_obt", obt)
 
 
 def ride_obt(spark: SparkSession, sf: str) -> DataFrame:
@@ -51,11 +48,11 @@ def ride_obt(spark: SparkSession, sf: str) -> DataFrame:
 
 def ride_target(name: str, spark: SparkSession, sf: str) -> DataFrame:
     spec = next(s for s in STAR_SPECS if s.name == name)
-    return without_zone(build_target(obt(spark, sf), spec))
+    return without_zone(build_target(stored_obt(spark, sf), spec))
 
 
 def ride_star(spark: SparkSession, sf: str) -> DataFrame:
-    return without_zone(star_readback(build_star(_stored_obt(spark, sf))))
+    return without_zone(star_readback(build_star(stored_obt(spark, sf))))
 
 
 def ride_quality(spark: SparkSession, sf: str) -> DataFrame:
@@ -65,7 +62,7 @@ def ride_quality(spark: SparkSession, sf: str) -> DataFrame:
 
 def ride_unplaced(spark: SparkSession, sf: str) -> DataFrame:
     location = next(s for s in DIM_SPECS if s.name == "dim_location")
-    return unsequenced_report(obt(spark, sf), location.keys, location.sequence_by)
+    return unsequenced_report(stored_obt(spark, sf), location.keys, location.sequence_by)
 
 
 QUERIES = {
