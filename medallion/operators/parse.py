@@ -7,7 +7,7 @@ from typing import Literal
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 CORRUPT = "_corrupt_record"
 
@@ -25,7 +25,7 @@ def flag_malformed(
     A payload is bad if it is null, blank, not a JSON object of the given schema,
     or has a field of another type.
     """
-    with_corrupt = StructType(schema.fields).add(CORRUPT, StringType(), True)
+    with_corrupt = StructType([*schema.fields, StructField(CORRUPT, StringType(), True)])
     record = F.from_json(F.col(column), with_corrupt, {"columnNameOfCorruptRecord": CORRUPT})
     fields = F.struct(*(F.col(f"__record.`{f.name}`") for f in schema.fields))
     bad = (

@@ -1,0 +1,35 @@
+from __future__ import annotations
+
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+
+from medallion.session import build_session  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    warehouse = tmp_path_factory.mktemp("warehouse")
+    session = build_session(
+        "tests",
+        master="local[8]",
+        shuffle_partitions=4,
+        conf={
+            "spark.ui.enabled": "false",
+            "spark.driver.memory": "4g",
+            "spark.sql.warehouse.dir": str(warehouse),
+            "spark.ui.showConsoleProgress": "false",
+        },
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+def rows(df):
+    """Rows as sorted tuples, nulls first."""
+    found = [tuple(r) for r in df.collect()]
+    return sorted(found, key=lambda r: tuple((v is not None, str(type(v)), v) for v in r))

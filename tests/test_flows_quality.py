@@ -1,0 +1,78 @@
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from medallion.operators.flows import append_flows
+from medallion.operators.quality import (
+    cancellation_rules,
+    count_rows,
+    duplicate_keys,
+    fare_rules,
+    orphan_report,
+    reconcile_counts,
+    rules_report,
+    timeline_rules,
+    unsequenced_report,
+)
+
+
+def test_flows_union_by_name_and_keep_duplicates(spark):
+    a = spark.createDataFrame([(1, "x")], "id bigint, v string")
+    b = spark.createDataFrame([("x", 1), ("y", 2)], "v string, id bigint")
+    assert rows(append_flows(a, b)) == [(1, "x"), (1, "x"), (2, "y")]
+
+
+def test_flows_must_agree(spark):
+    a = spark.createDataFrame([(1, "x")], "id bigint, v string")
+    with pytest.raises(ValueError, match="v"):
+        append_flows(a, a.select("id"))
+    with pytest.raises(ValueError):
+        append_flows()
+
+
+def test_counts(spark):
+    a, b = spark.range(3), spark.range(4)
+    assert rows(count_rows(a)) == [(3,)]
+    assert reconcile_counts({"bulk": a, "live": b}, a.union(b)).first().asDict() == {
+        "bulk": 3,
+        "live": 4,
+        "staged": 7,
+        "ok": True,
+    }
+    assert reconcile_counts({"bulk": a, "live": b}, a).first()["ok"] is False
+    assert reconcile_counts({"bulk": a.where("false")}, a.where("false")).first()["ok"] is True
+
+
+def test_rules(spark):
+    df = spark.createDataFrame(
+        [
+            (38.64, 40.95, 2.5, 1.01, 82.91, 2.0, 84.91, "2026-01-01 10:00", "2026-01-01T10:05", "2026-01-01T10:30", 1, 4),
+            (1.0, 1.0, 1.0, 1.0, 9.0, 1.0, 10.0, "2026-01-01 11:00", "2026-01-01T10:05", "2026-01-01T10:00", 1, 2),
+            (1.0, 1.0, 1.0, 1.0, 3.0, 1.0, 9.0, None, "bad", None, 2, 4),
+        ],
+        "distance_fare double, time_fare double, base_fare double, surge_multiplier double, subtotal double, "
+        "tip_amount double, total_fare double, booking_timestamp string, pickup_timestamp string, "
+        "dropoff_timestamp string, ride_status_id bigint, cancellation_reason_id bigint",
+    ).withColumn("booking_timestamp", F.col("booking_timestamp").cast("timestamp"))
+    report = rules_report(df, {**fare_rules(), **timeline_rules(), **cancellation_rules()}).first()
+    assert report.asDict() == {
+        "n": 3,
+        "bad_subtotal": 1,
+        "bad_total": 1,
+        "bad_booking_time": 1,
+        "bad_dropoff_time": 1,
+        "bad_cancellation": 2,
+    }
+
+
+def test_orphans_and_duplicates(spark):
+    facts = spark.createDataFrame([(1,), (1,), (2,), (5,), (None,)], "fk bigint")
+    lookup = spark.createDataFrame([(1,), (2,), (2,)], "pk bigint")
+    assert rows(orphan_report(facts, "fk", lookup, "pk")) == [(5, 1)]
+    assert rows(orphan_report(facts.where("false"), "fk", lookup, "pk")) == [(0, 0)]
+    assert rows(duplicate_keys(lookup, ["pk"])) == [(2, 2)]
+
+
+def test_unsequenced_report(spark):
+    df = spark.createDataFrame([(1, 1), (None, 1), (1, None)], "k bigint, s bigint")
+    assert rows(unsequenced_report(df, ["k"], "s")) == [(3, 1, 2)]

@@ -1,0 +1,151 @@
+import random
+from datetime import datetime, timedelta
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from medallion.operators.cdc import CdcSpec, build_target
+from medallion.operators.enrich import JoinSpec, enrich
+from medallion.operators.flows import append_flows
+from medallion.sources.tables import read_table, read_table_stream
+from medallion.streaming.changelog import compact, read_changes, start_changes, target_view
+from medallion.streaming.runs import dedup_stream, run_stream, start_stream, watermark
+
+DDL = "id bigint, k string, seq bigint, v string, t timestamp"
+START = datetime(2026, 1, 1)
+
+
+def changes(n=40, seed=1):
+    rng = random.Random(seed)
+    data = []
+    for i in range(n):
+        # A third of all rows share one key.
+        key = "hot" if i % 3 == 0 else rng.choice(["a", "b", "c", None])
+        data.append((i, key, rng.randint(0, 8), rng.choice(["x", "y", None]), START + timedelta(minutes=i)))
+    rng.shuffle(data)
+    return data
+
+
+def land(spark, path, data, files):
+    """Append the rows as that many files."""
+    for part in range(files):
+        piece = data[part::files]
+        spark.createDataFrame(piece, DDL).coalesce(1).write.mode("append").parquet(path)
+
+
+def stream(spark, path, per_trigger=1):
+    return spark.readStream.schema(DDL).option("maxFilesPerTrigger", per_trigger).parquet(path)
+
+
+SCD1 = CdcSpec("one", ["k", "v"], ["k"], "seq", tie_break=["id"])
+FIRST = CdcSpec("first", ["k", "v"], ["k"], "k", keep="first", collapse=True, tie_break=["t"])
+SCD2 = CdcSpec("two", ["k", "v"], ["k"], "seq", scd_type=2, tie_break=["id"])
+
+
+@pytest.mark.parametrize("spec", [SCD1, FIRST, SCD2], ids=lambda s: s.name)
+@pytest.mark.parametrize("files, seed", [(1, 1), (4, 2)])
+def test_logged_changes_equal_batch(spark, tmp_path, spec, files, seed):
+    data = changes(seed=seed)
+    half = len(data) // 2
+    source, log, checkpoint = f"{tmp_path}/in", f"{tmp_path}/log", f"{tmp_path}/cp"
+    # Two runs: the second continues at the checkpoint, after a compaction.
+    land(spark, source, data[:half], files)
+    start_changes(stream(spark, source), spec, log, checkpoint).awaitTermination()
+    assert compact(spark, log, spec) is not None and compact(spark, log, spec) is None
+    land(spark, source, data[half:], files)
+    start_changes(stream(spark, source), spec, log, checkpoint).awaitTermination()
+
+    expected = rows(build_target(spark.createDataFrame(data, DDL), spec))
+    assert rows(target_view(spark, log, spec)) == expected
+    assert compact(spark, log, spec) is not None
+    assert rows(target_view(spark, log, spec)) == expected
+
+
+def test_log_holds_one_row_per_key_and_batch(spark, tmp_path):
+    land(spark, f"{tmp_path}/in", changes(), 2)
+    log = f"{tmp_path}/log"
+    start_changes(stream(spark, f"{tmp_path}/in"), SCD1, log, f"{tmp_path}/cp").awaitTermination()
+    assert read_changes(spark, log).count() <= 2 * 4
+
+
+def test_replayed_batch_replaces_itself(spark, tmp_path):
+    land(spark, f"{tmp_path}/in", changes(), 1)
+    log = f"{tmp_path}/log"
+    for checkpoint in ("cp1", "cp2"):  # a lost checkpoint replays batch 0
+        start_changes(stream(spark, f"{tmp_path}/in"), SCD1, log, f"{tmp_path}/{checkpoint}").awaitTermination()
+    assert read_changes(spark, log).count() <= 4
+
+
+def test_append_is_incremental_across_restarts(spark, tmp_path):
+    data = changes()
+    land(spark, f"{tmp_path}/bulk", data[:10], 1)
+    land(spark, f"{tmp_path}/live", data[10:20], 2)
+
+    def run():
+        both = append_flows(stream(spark, f"{tmp_path}/bulk"), stream(spark, f"{tmp_path}/live"))
+        run_stream(both, f"{tmp_path}/cp", path=f"{tmp_path}/out")
+        return spark.read.parquet(f"{tmp_path}/out")
+
+    assert run().count() == 20
+    assert run().count() == 20
+    land(spark, f"{tmp_path}/live", data[20:], 1)
+    assert rows(run()) == rows(spark.createDataFrame(data, DDL))
+
+
+def test_tables_as_streams(spark, tmp_path):
+    land(spark, f"{tmp_path}/in", changes(), 2)
+    run_stream(stream(spark, f"{tmp_path}/in"), f"{tmp_path}/cp1", table="stream_raw", path=f"{tmp_path}/raw")
+    run_stream(read_table_stream(spark, "stream_raw", 1).select("id"), f"{tmp_path}/cp2", table="stream_ids")
+    assert read_table(spark, "stream_ids").count() == 40
+    with pytest.raises(ValueError):
+        start_stream(stream(spark, f"{tmp_path}/in"), f"{tmp_path}/cp3")
+
+
+@pytest.mark.parametrize("salts", [1, 4])
+def test_dedup_stream(spark, tmp_path, salts):
+    data = changes()
+    land(spark, f"{tmp_path}/in", data, 3)
+    keys = stream(spark, f"{tmp_path}/in").select("k")
+    run_stream(dedup_stream(keys, ["k"], salts=salts), f"{tmp_path}/cp", path=f"{tmp_path}/out")
+    land(spark, f"{tmp_path}/in", data, 1)
+    run_stream(dedup_stream(keys, ["k"], salts=salts), f"{tmp_path}/cp", path=f"{tmp_path}/out")
+    assert rows(spark.read.parquet(f"{tmp_path}/out")) == [(None,), ("a",), ("b",), ("c",), ("hot",)]
+
+
+def test_stateless_join_keeps_late_rows_and_bounded_dedup_drops_them(spark, tmp_path):
+    late = [(99, "a", 0, "x", START - timedelta(days=1))]
+    land(spark, f"{tmp_path}/in", changes(), 1)
+    lookup = spark.createDataFrame([("a", 1)], "lk string, n bigint")
+
+    def joined():
+        marked = watermark(stream(spark, f"{tmp_path}/in"), "t")
+        return enrich(marked, "e", ["e.id"], [JoinSpec(lookup, "l", "e.k = l.lk", ["l.n"])])
+
+    def bounded():
+        return dedup_stream(watermark(stream(spark, f"{tmp_path}/in"), "t"), ["id"], within_watermark=True)
+
+    for _ in range(2):
+        run_stream(joined(), f"{tmp_path}/cp1", path=f"{tmp_path}/joined")
+        run_stream(bounded(), f"{tmp_path}/cp2", path=f"{tmp_path}/bounded")
+        land(spark, f"{tmp_path}/in", late, 1)
+    run_stream(joined(), f"{tmp_path}/cp1", path=f"{tmp_path}/joined")
+    assert spark.read.parquet(f"{tmp_path}/joined").where("id = 99").count() == 2
+    assert spark.read.parquet(f"{tmp_path}/bounded").count() == 40
+
+
+def test_watermark_accepts_zoneless_time(spark, tmp_path):
+    spark.sql("SELECT timestamp_ntz'2026-01-01 00:00:00' AS t").write.parquet(f"{tmp_path}/in")
+    zoneless = spark.readStream.schema("t timestamp_ntz").parquet(f"{tmp_path}/in")
+    assert dict(watermark(zoneless, "t").dtypes) == {"t": "timestamp"}
+
+
+def test_salted_stream_join(spark, tmp_path):
+    land(spark, f"{tmp_path}/in", changes(), 1)
+    lookup = spark.createDataFrame([("hot", 1), ("a", 2)], "lk string, n bigint")
+    spec = JoinSpec(lookup, "l", "e.k = l.lk", ["l.n"], broadcast_rows=1, salts=4)
+    out = enrich(stream(spark, f"{tmp_path}/in"), "e", ["e.id", "e.k"], [spec])
+    run_stream(out, f"{tmp_path}/cp", path=f"{tmp_path}/out")
+    stored = spark.read.parquet(f"{tmp_path}/out")
+    assert stored.count() == 40
+    assert stored.where((F.col("k") == "hot") & (F.col("n") == 1)).count() == 14

@@ -101,7 +101,7 @@ TABLE_ORACLES: dict[str, str] = {
         "concat(upper(substr(lang, 1, 1)), lower(substr(lang, 2))) as lang from documents"
     ),
     "label_to_id": (
-        "select e.event_id, coalesce(m.id, 4) as type_id from events e left join "
+        "select e.event_id, cast(coalesce(m.id, 4) as bigint) as type_id from events e left join "
         "(values ('view', 1), ('click', 2), ('purchase', 3)) m(label, id) on e.event_type = m.label"
     ),
     "to_json_event": "select * from events",
