@@ -35,14 +35,38 @@ def normal(frame: pd.DataFrame) -> list[tuple]:
     return sorted(tuple(cell(v) for v in row) for row in frame[columns].itertuples(index=False))
 
 
-def oracle_frame(sf_dir: str, sql: str) -> pd.DataFrame:
+def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     connection = duckdb.connect()
     connection.execute("SET TimeZone = 'UTC'")
     for name in TABLES:
         connection.execute(
             f"create view {name} as select * from read_parquet('{sf_dir}/{name}.parquet')"
         )
-    return connection.execute(sql).df()
+    return connection
+
+
+def oracle_frame(sf_dir: str, sql: str) -> pd.DataFrame:
+    return connect(sf_dir).execute(sql).df()
+
+
+# Spark's names for the types the results have.
+TYPES = {
+    "BIGINT": "bigint",
+    "INTEGER": "int",
+    "DOUBLE": "double",
+    "VARCHAR": "string",
+    "BOOLEAN": "boolean",
+    "TIMESTAMP": "timestamp_ntz",
+}
+
+
+def oracle_types(sf_dir: str, sql: str) -> dict[str, str]:
+    described = connect(sf_dir).execute(f"describe {sql}").fetchall()
+    return {row[0]: TYPES.get(row[1], row[1]) for row in described}
+
+
+def spark_types(df) -> dict[str, str]:
+    return dict(df.dtypes)
 
 
 def difference(spark_frame: pd.DataFrame, sql_frame: pd.DataFrame) -> str | None:

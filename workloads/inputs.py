@@ -58,7 +58,7 @@ RIDE_SQL: dict[str, str] = {
     "vehicle_make_id": "l_partkey % 8 + 1",
     "payment_method_id": "l_suppkey % 4 + 1",
     "ride_status_id": "cast(l_linenumber % 2 + 1 as bigint)",
-    "pickup_city_id": "l_suppkey % 11 + 1",
+    "pickup_city_id": "l_partkey % 11 + 1",
     "dropoff_city_id": "l_partkey % 10 + 1",
     "cancellation_reason_id": "case when l_linenumber % 2 = 1 then l_partkey % 3 + 1 else cast(4 as bigint) end",
     "passenger_name": "concat('Passenger ', cast(o_custkey as string))",
