@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +27,9 @@ class Lake:
     def table(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 
+    def log(self, name: str) -> str:
+        return f"{self.root.rstrip('/')}/_changes/{name}"
+
     def checkpoint(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/_checkpoints/{name}"
 
@@ -43,6 +47,17 @@ def _stored(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def store_targets(targets: Mapping[str, DataFrame], lake: Lake) -> dict[str, DataFrame]:
+    """Store independent tables at the same time.
+
+    Joins over the star should read these: their sizes are known to the planner,
+    so small dimensions are broadcast before the fact is ever shuffled for them.
+    """
+    with ThreadPoolExecutor(max_workers=max(1, len(targets))) as pool:
+        stored = pool.map(lambda t: _stored(t[1], lake.table(t[0])), targets.items())
+        return dict(zip(targets, stored))
+
+
 def run_batch(
     raw: DataFrame,
     lookups: Mapping[str, DataFrame | str],
@@ -62,11 +77,8 @@ def run_batch(
     tables["silver_obt"] = _stored(
         one_big_table(tables["stg_rides"], lookups), lake.table("silver_obt")
     )
-    for spec in specs:
-        tables[spec.name] = _stored(
-            build_target(tables["silver_obt"], spec), lake.table(spec.name)
-        )
-    return tables
+    targets = {spec.name: build_target(tables["silver_obt"], spec) for spec in specs}
+    return {**tables, **store_targets(targets, lake)}
 
 
 def _stream(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -83,8 +95,9 @@ def run_stream_once(
     """Take in what is new in the streams ``raw`` and ``history``; returns the tables.
 
     A rerun continues at the checkpoints: stored history is not read again. The
-    star's logs are independent of each other and fill at the same time. They
-    read the stored one-big-table without its watermark, so late rides count.
+    star's logs are independent of each other and fill at the same time; the
+    star's tables are then refreshed from them. They read the stored
+    one-big-table without its watermark, so late rides count.
     """
     spark = raw.sparkSession
 
@@ -98,7 +111,7 @@ def run_stream_once(
     obt = store(enriched, "silver_obt")
 
     running = [
-        start_changes(obt, spec, lake.table(spec.name), lake.checkpoint(spec.name))
+        start_changes(obt, spec, lake.log(spec.name), lake.checkpoint(spec.name))
         for spec in specs
     ]
     for query in running:
@@ -106,5 +119,5 @@ def run_stream_once(
 
     stored = ("rides_raw", "stg_rides", "silver_obt")
     tables = {name: spark.read.parquet(lake.table(name)) for name in stored}
-    tables.update({s.name: target_view(spark, lake.table(s.name), s) for s in specs})
-    return tables
+    views = {s.name: target_view(spark, lake.log(s.name), s) for s in specs}
+    return {**tables, **store_targets(views, lake)}

@@ -88,9 +88,15 @@ RIDE_SQL: dict[str, str] = {
 _ISO = "yyyy-MM-dd'T'HH:mm:ss"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores where a table is too few files for that; else unchanged."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def rides(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as rides: the 43 columns of the event, plus ``is_history``."""
-    lines = table(spark, sf_dir, "lineitem").join(
+    lines = spread(table(spark, sf_dir, "lineitem")).join(
         table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
     )
     pickup = F.timestamp_add("MINUTE", F.col("l_linenumber"), F.col("o_orderdate"))
@@ -158,6 +164,13 @@ def written_once(spark: SparkSession, sf_dir: str, name: str, build) -> DataFram
     return spark.read.parquet(_WRITTEN[key])
 
 
+def stored_stream(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """The same as a stream of files."""
+    schema = written_once(spark, sf_dir, name, build).schema
+    path = _WRITTEN[spark.sparkContext.applicationId, sf_dir, name]
+    return read_events(spark, "parquet", schema=schema, path=path)
+
+
 def raw_rides(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The live rides as a stored raw table."""
     return written_once(spark, sf_dir, "ride_events", ride_events)
