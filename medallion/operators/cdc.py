@@ -14,6 +14,8 @@ from typing import Literal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from medallion.operators.enrich import BROADCAST_ROWS
+
 Keep = Literal["first", "latest"]
 
 START_AT = "__START_AT"
@@ -208,27 +210,41 @@ def scd2(
     """Type 2: every version with ``__START_AT`` and ``__END_AT`` (null while current).
 
     There is one version per distinct (key, sequence). Keys with more than
-    ``hot_rows`` rows take a second path that spreads their history. They are
-    found by a count that reads only the keys, there are at most rows / hot_rows
-    of them, and AQE drops the second path when there are none.
+    ``hot_rows`` rows are looked for first, by a count that reads only the keys;
+    there can be at most rows / hot_rows of them. They take a second path that
+    spreads their history over many tasks.
     """
     rows = sequenced(df, keys, sequence_by)
     if collapse:
         rows = rows.distinct()
-    hot_keys = (
-        rows.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .where(F.col("__n") > hot_rows)
-        .select(*keys)
-    )
-    cold = rows.join(hot_keys, list(keys), "left_anti")
-    hot = rows.join(hot_keys, list(keys), "left_semi")
-    dated = _history(cold, keys, sequence_by, tie_break).unionByName(
-        _history_in_slices(hot, keys, sequence_by, tie_break)
-    )
+    hot_keys = _hot_keys(rows, keys, hot_rows)
+    if hot_keys is None:
+        dated = _history(rows, keys, sequence_by, tie_break)
+    else:
+        cold = rows.join(hot_keys, list(keys), "left_anti")
+        hot = rows.join(hot_keys, list(keys), "left_semi")
+        dated = _history(cold, keys, sequence_by, tie_break).unionByName(
+            _history_in_slices(hot, keys, sequence_by, tie_break)
+        )
     return dated.withColumn(START_AT, F.col(sequence_by)).select(*df.columns, START_AT, END_AT)
 
 
+def _hot_keys(rows: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame | None:
+    """Keys with more than ``hot_rows`` rows, or None if there are none.
+
+    A list short enough to broadcast is fetched, so that splitting by it shuffles
+    nothing; a longer one is left to Spark's join selection.
+    """
+    counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    hot_keys = counted.where(F.col("__n") > hot_rows).select(*keys)
+    found = hot_keys.limit(BROADCAST_ROWS + 1).toArrow()
+    if found.num_rows == 0:
+        return None
+    if found.num_rows > BROADCAST_ROWS:
+        return hot_keys
+    return F.broadcast(rows.sparkSession.createDataFrame(found, hot_keys.schema))
+
+
 def current(history: DataFrame) -> DataFrame:
     """Versions of a type 2 history that are still open."""
     return history.where(F.col(END_AT).isNull())

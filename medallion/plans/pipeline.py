@@ -117,7 +117,9 @@ def run_stream_once(
     for query in running:
         query.awaitTermination()
 
-    stored = ("rides_raw", "stg_rides", "silver_obt")
-    tables = {name: spark.read.parquet(lake.table(name)) for name in stored}
+    streams = {"rides_raw": raw_stored, "stg_rides": staged, "silver_obt": obt}
+    tables = {
+        name: spark.read.schema(df.schema).parquet(lake.table(name)) for name, df in streams.items()
+    }
     views = {s.name: target_view(spark, lake.log(s.name), s) for s in specs}
     return {**tables, **store_targets(views, lake)}

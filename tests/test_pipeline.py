@@ -86,6 +86,14 @@ def test_streams_reach_the_batch_result(spark, batch, landed, tmp_path):
         assert rows(tables[name].select(*table.columns)) == rows(table), name
 
 
+def test_empty_sources_give_empty_tables(spark, batch, tmp_path):
+    (tmp_path / "in").mkdir()
+    raw = read_events(spark, "parquet", schema=KAFKA_ROW, path=f"{tmp_path}/in")
+    tables = run_stream_once(raw, default_lookups(spark), Lake(f"{tmp_path}/lake"))
+    for name, table in tables.items():
+        assert table.count() == 0 and set(table.columns) == set(batch[name].columns), name
+
+
 def test_lookups_as_tables(spark, batch, tmp_path):
     names = {}
     for name, df in default_lookups(spark).items():
