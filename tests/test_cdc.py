@@ -157,7 +157,7 @@ change = st.tuples(
     st.sampled_from(["x", "y", None]),
     st.one_of(st.none(), st.integers(0, 3)),
 )
-quick = settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+quick = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 
 
 def high(value):

@@ -13,7 +13,12 @@ from medallion.operators.cdc import current, dedup_first, scd1, scd2
 from medallion.operators.enrich import JoinSpec, enrich, label_to_id
 from medallion.operators.flows import append_flows
 from medallion.operators.parse import cast_event_time, decode_value, flag_malformed, parse_json
-from medallion.operators.quality import count_rows, orphan_report, reconcile_counts
+from medallion.operators.quality import (
+    count_rows,
+    duplicate_keys,
+    orphan_report,
+    reconcile_counts,
+)
 from medallion.schemas import LONG, struct
 from medallion.session import work_dir
 from medallion.sources.events import read_capture
@@ -267,6 +272,11 @@ def quality(spark: SparkSession, sf: str) -> DataFrame:
     return orphan_report(table(spark, sf, "customer"), "c_nationkey", nation, "n_nationkey")
 
 
+def repeated_keys(spark: SparkSession, sf: str) -> DataFrame:
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
+    return duplicate_keys(lines, ["l_orderkey", "l_linenumber"])
+
+
 QUERIES = {
     "decode_value": decode,
     "parse_json": parse,
@@ -299,4 +309,5 @@ QUERIES = {
     "manifest_ingest": manifest_ingested,
     "star_readback": star_read_back,
     "quality_report": quality,
+    "duplicate_keys": repeated_keys,
 }

@@ -123,12 +123,17 @@ TABLE_ORACLES: dict[str, str] = {
         "select count(*) as n, count(*) filter (where n.n_nationkey is null) as orphan_fk from customer c "
         "left join (select * from nation where n_regionkey <> 0) n on c.c_nationkey = n.n_nationkey"
     ),
+    "duplicate_keys": (
+        "select l_orderkey, l_linenumber, count(*) as n from lineitem "
+        "group by l_orderkey, l_linenumber having count(*) > 1"
+    ),
     "stream_append": _FLOWS,
     "stream_obt": (
         "select e.event_id, e.ts, e.user_id, c.c_name, c.c_mktsegment from events e "
         "left join customer c on e.user_id = c.c_custkey"
     ),
     "stream_dedup": "select distinct user_id from events",
+    "stream_dedup_bounded": "select distinct event_id from events",
     "stream_scd1": _SCD1_LATEST,
     "stream_scd2": _SCD2,
 }
