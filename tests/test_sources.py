@@ -2,7 +2,6 @@ import json
 
 import pytest
 from conftest import rows
-from pyspark.sql import functions as F
 
 from medallion.plans.rides import LOOKUP_ROWS, default_lookups
 from medallion.operators.parse import decode_value, parse_json

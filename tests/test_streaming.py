@@ -62,11 +62,14 @@ def test_logged_changes_equal_batch(spark, tmp_path, spec, files, seed):
     assert rows(target_view(spark, log, spec)) == expected
 
 
-def test_log_holds_one_row_per_key_and_batch(spark, tmp_path):
+def test_log_size(spark, tmp_path):
     land(spark, f"{tmp_path}/in", changes(), 2)
-    log = f"{tmp_path}/log"
-    start_changes(stream(spark, f"{tmp_path}/in"), SCD1, log, f"{tmp_path}/cp").awaitTermination()
-    assert read_changes(spark, log).count() <= 2 * 4
+    for spec, at_most in ((FIRST, 2 * 4), (SCD1, 40)):
+        log, checkpoint = f"{tmp_path}/{spec.name}", f"{tmp_path}/cp-{spec.name}"
+        start_changes(stream(spark, f"{tmp_path}/in"), spec, log, checkpoint).awaitTermination()
+        assert read_changes(spark, log).count() <= at_most
+        compact(spark, log, spec)
+        assert read_changes(spark, log).count() <= 4
 
 
 def test_replayed_batch_replaces_itself(spark, tmp_path):
@@ -74,7 +77,7 @@ def test_replayed_batch_replaces_itself(spark, tmp_path):
     log = f"{tmp_path}/log"
     for checkpoint in ("cp1", "cp2"):  # a lost checkpoint replays batch 0
         start_changes(stream(spark, f"{tmp_path}/in"), SCD1, log, f"{tmp_path}/{checkpoint}").awaitTermination()
-    assert read_changes(spark, log).count() <= 4
+    assert read_changes(spark, log).count() == 40
 
 
 def test_append_is_incremental_across_restarts(spark, tmp_path):
