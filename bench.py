@@ -76,7 +76,7 @@ def main() -> None:
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
-                "sf": sf_dir.rstrip("/").rsplit("sf", 1)[-1],
+                "sf": float(sf_dir.rstrip("/").rsplit("sf", 1)[-1]),
             }
         )
     )
