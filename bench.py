@@ -43,6 +43,15 @@ HEADLINE = [
 ]
 
 
+def scale(sf_dir: str) -> float | str:
+    """The scale factor a folder is named after, or its name."""
+    name = Path(sf_dir).name
+    try:
+        return float(name.removeprefix("sf"))
+    except ValueError:
+        return name
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -76,7 +85,7 @@ def main() -> None:
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
-                "sf": float(sf_dir.rstrip("/").rsplit("sf", 1)[-1]),
+                "sf": scale(sf_dir),
             }
         )
     )
