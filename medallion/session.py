@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -43,10 +45,28 @@ def build_session(
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder every executor can reach.
 
-    It lies under the folder the cluster names in ``spark.checkpoint.dir``; only
-    a session without that setting (a local test) gets a temporary folder.
+    It lies under the folder the cluster names in ``spark.checkpoint.dir``. Only a
+    session whose executors run in the driver (a local test) may leave that unset and
+    gets a temporary folder; on a cluster it is an error, as every executor would write
+    to a disk of its own.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"spark.checkpoint.dir must name a shared folder on {master}")
         base = tempfile.mkdtemp(prefix="medallion-")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Hand this package to the Python workers of executors that lack it, once per application."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        root = Path(__file__).resolve().parent
+        target = Path(tempfile.mkdtemp(prefix="medallion-zip-")) / root.name
+        context.addPyFile(shutil.make_archive(str(target), "zip", root.parent, root.name))
+        _SHIPPED.add(context.applicationId)
