@@ -115,8 +115,9 @@ def _confirm_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 def confirm(pairs: DataFrame, found: DataFrame) -> DataFrame:
     """Those ``(a, b)`` whose full sets are similar enough; ``found`` holds their texts."""
-    with_b = pairs.join(found.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-    with_a = with_b.join(found.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
+    # Merge joins at every size: texts are never broadcast, and hot documents are split.
+    with_b = pairs.join(found.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")).hint("merge"), "b")
+    with_a = with_b.join(found.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")).hint("merge"), "a")
     return with_a.select("a", "b", "text_a", "text_b").mapInArrow(_confirm_batches, "a long, b long")
 
 
@@ -206,7 +207,7 @@ def _candidate_texts(docs: DataFrame, *pairs: DataFrame) -> DataFrame:
             one = p.select(F.col(side).alias("doc_id"))
             ids = one if ids is None else ids.unionByName(one)
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes())
-    return plain.join(ids.distinct(), "doc_id", "left_semi")
+    return plain.hint("merge").join(ids.distinct(), "doc_id", "left_semi")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
