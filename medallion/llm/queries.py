@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from medallion.llm import minmax
+from medallion.llm import minmax, mixing, planes, seeds, toxicity
+from medallion.llm.tokens import tokenizer_file
 from medallion.session import ship_package
 
 
@@ -15,12 +16,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scores = toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+    return scores.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted", "sentences")
+
+
+def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return planes.token_files(table(spark, sf_dir, "documents"), tokenizer_file())
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return seeds.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_toxicity": op2_toxicity,
+    "op4_source_mix": op4_source_mix,
     "op5_minhash_dedup": op5_minhash_dedup,
+    "op7_token_planes": op7_token_planes,
+    "op10_decontamination": op10_decontamination,
 }
 
 ORACLES: dict[str, str] = {}
