@@ -5,7 +5,8 @@ fraction that is left. The cube method settles these fractions: within small blo
 three documents at a time move along the one direction that keeps both the number of
 documents and the number of words taken as they are, until one of them is at 0 or 1. What
 blocks leave undecided (two documents at most) is dealt into new blocks, and so on, until
-one block is left per source, whose last documents are settled by the smallest error.
+one block is left per source. Its flight leaves out ``LANDING`` documents, which are
+settled together with what is left of the others by trying all choices.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST = 2.0
 BLOCK = 2000
+LANDING = 12
 SEED = 4
 _EDGE = 1e-9
 
@@ -88,13 +90,11 @@ def _flight(x: np.ndarray, s: np.ndarray, draw: np.random.Generator) -> list[int
 
 
 def _land(x: np.ndarray, s: np.ndarray, left: list[int]) -> None:
-    """Settle the last fractions by the choice with the least error in words, then in documents."""
-    if not left:
-        return
-    choices = [[(c >> i) & 1 for i in range(len(left))] for c in range(1 << len(left))]
-    words, count = float(x[left] @ s[left]), float(x[left].sum())
-    best = min(choices, key=lambda c: (abs(float(np.dot(c, s[left])) - words), abs(sum(c) - count), c))
-    x[left] = best
+    """Settle these fractions by the choice with the least error in words and, less so, in documents."""
+    choices = (np.arange(1 << len(left))[:, None] >> np.arange(len(left))) & 1
+    words = np.abs(choices @ s[left] - x[left] @ s[left])
+    count = np.abs(choices.sum(axis=1) - x[left].sum())
+    x[left] = choices[np.argmin(words + count * s[left].mean() / 20)]
 
 
 def _settle(last: bool) -> Callable[[pa.Table], pa.Table]:
@@ -102,9 +102,13 @@ def _settle(last: bool) -> Callable[[pa.Table], pa.Table]:
         table = table.sort_by([("key", "ascending"), ("doc_id", "ascending"), ("size", "ascending")])
         x = table.column("x").to_numpy().copy()
         s = table.column("words").to_numpy().astype(float)
-        left = _flight(x, s, np.random.default_rng([SEED, len(x), int(table.column("key")[0].as_py()) & 0xFFFFFFFF]))
+        draw = np.random.default_rng([SEED, len(x), table.column("key")[0].as_py() & 0xFFFFFFFF])
+        stop = max(0, len(x) - LANDING) if last else len(x)
+        left = _flight(x[:stop], s[:stop], draw)
         if last:
-            _land(x, s, left)
+            left += [n for n in range(stop, len(x)) if _EDGE < x[n] < 1 - _EDGE]
+            if left:
+                _land(x, s, left)
             left = []
         open_ = np.zeros(len(x), dtype=bool)
         open_[left] = True
