@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from medallion.llm import minmax, mixing, planes, seeds, toxicity
+from medallion.llm import chat, minmax, mixing, planes, seeds, topk, toxicity, warc
 from medallion.llm.tokens import tokenizer_file
 from medallion.session import ship_package
 
@@ -16,12 +16,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_chat_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    text = "\\### Assistant: </turn> ok"
+    more = spark.createDataFrame([(-7, 0, "user", text), (-7, 1, "assistant", text)], given.schema)
+    nodes, paths = chat.format_trees(given.unionByName(more), tokenizer_file())
+    return chat.read_conversations(nodes, paths, tokenizer_file())
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scores = toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
     return scores.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted", "sentences")
 
 
+def op3_warc_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(table(spark, sf_dir, "pages"))
+
+
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -34,15 +46,23 @@ def op7_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planes.token_files(table(spark, sf_dir, "documents"), tokenizer_file())
 
 
+def op9_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors.where("vec_id % 20 = 0"), vectors, 20)
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return seeds.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_chat_trees": op1_chat_trees,
     "op2_toxicity": op2_toxicity,
+    "op3_warc_captures": op3_warc_captures,
     "op4_source_mix": op4_source_mix,
     "op5_minhash_dedup": op5_minhash_dedup,
     "op7_token_planes": op7_token_planes,
+    "op9_exact_topk": op9_exact_topk,
     "op10_decontamination": op10_decontamination,
 }
 
