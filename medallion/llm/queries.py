@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from medallion.llm import chat, minmax, mixing, planes, seeds, topk, toxicity, warc
+from medallion.llm import chat, minmax, mixing, pii, planes, seeds, topk, toxicity, warc
 from medallion.llm.tokens import tokenizer_file
 from medallion.session import ship_package
 
@@ -46,6 +46,11 @@ def op7_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planes.token_files(table(spark, sf_dir, "documents"), tokenizer_file())
 
 
+def op8_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.spans(docs, pii.train(docs))
+
+
 def op9_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return topk.top_k(vectors.where("vec_id % 20 = 0"), vectors, 20)
@@ -62,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_source_mix": op4_source_mix,
     "op5_minhash_dedup": op5_minhash_dedup,
     "op7_token_planes": op7_token_planes,
+    "op8_pii_spans": op8_pii_spans,
     "op9_exact_topk": op9_exact_topk,
     "op10_decontamination": op10_decontamination,
 }
