@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from medallion.llm import chat, minmax, mixing, pii, planes, seeds, topk, toxicity, warc
+from medallion.llm import chat, minmax, mixing, pii, planes, seeds, suffixes, topk, toxicity, warc
 from medallion.llm.tokens import tokenizer_file
 from medallion.session import ship_package
 
@@ -42,6 +42,10 @@ def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.without_repeats(table(spark, sf_dir, "documents")).drop("text")
+
+
 def op7_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planes.token_files(table(spark, sf_dir, "documents"), tokenizer_file())
 
@@ -66,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_warc_captures": op3_warc_captures,
     "op4_source_mix": op4_source_mix,
     "op5_minhash_dedup": op5_minhash_dedup,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_token_planes": op7_token_planes,
     "op8_pii_spans": op8_pii_spans,
     "op9_exact_topk": op9_exact_topk,
