@@ -16,13 +16,13 @@ import base64
 import hashlib
 import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medallion.llm.store import stored
+from medallion.llm.store import stored, texts
 from medallion.session import work_dir
 
 VERSION = b"WARC/1.1\r\n"
@@ -153,7 +153,7 @@ def _capture_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], names=["value"])
 
 
-def write_pages(pages: DataFrame, path: str) -> None:
+def write_pages(pages: DataFrame, path: str, compression: str = "gzip") -> None:
     """A capture per row of ``pages`` (page_id, url, html), payload the html in UTF-8.
 
     Of rows with equal payloads the one of the smallest page_id has the response, the
@@ -161,6 +161,10 @@ def write_pages(pages: DataFrame, path: str) -> None:
     come last. A null html is an empty payload, a null url an empty one, and an empty
     table gives no records. ``pages`` must give its rows in the same partitions each
     time, as a stored table does. Other columns are ignored.
+
+    Each file is compressed as a whole: one task then reads it, record by record, so
+    files are as large as the tasks that write them. ``compression="none"`` gives files
+    that are split among tasks.
     """
     payload = F.coalesce(F.col("html").cast("string").cast("binary"), F.lit(b"").cast("binary"))
     rows = pages.select(
@@ -173,31 +177,44 @@ def write_pages(pages: DataFrame, path: str) -> None:
         "page_id", "url", "payload", "response_id", (F.col("row") == F.col("first_row")).alias("is_response")
     )
     archived = captures.mapInArrow(_capture_batches, "value binary")
-    archived.select(F.col("value").cast("string")).write.option("lineSep", END.decode()).text(path)
+    archived.select(F.col("value").cast("string")).write.options(lineSep=END.decode(), compression=compression).text(path)
 
 
-def _record_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _record_batches(payloads: bool) -> Callable:
     kinds = {
         "concurrent_to": pa.list_(pa.string()), "payload_bytes": pa.int64(),
         "payload": pa.binary(), "fields": pa.map_(pa.string(), pa.string()),
     }
     names = re.findall(r"(\w+) (?:string|array<string>|long|binary|map<string,string>)", RECORDS)
-    for batch in batches:
-        rows = [parse_record(v.as_py()) for v in batch.column("value") if len(v.as_py().strip())]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([r[n] for r in rows], kinds.get(n, pa.string())) for n in names], names=names
-        )
+
+    def checked(data: bytes) -> dict:
+        found = parse_record(data)
+        if found["type"] == "response" and not payloads:
+            if found["payload_digest"] != payload_digest(found["payload"]):
+                raise ValueError(f"{found['record_id']}: the payload has not the stated digest")
+            found["payload"] = None
+        return found
+
+    def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in source:
+            rows = [checked(v) for v in texts(batch.column("value")) if v.strip()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[n] for r in rows], kinds.get(n, pa.string())) for n in names], names=names
+            )
+
+    return batches
 
 
-def read_records(spark, path: str) -> DataFrame:
-    """Every record of the uncompressed archives under ``path``, as in ``RECORDS``.
+def read_records(spark, path: str, payloads: bool = True) -> DataFrame:
+    """Every record of the archives under ``path``, as in ``RECORDS``.
 
     Archives are split at version lines. A foreign archive with such a line inside a
     block is refused by the length check rather than read wrongly. A revisit's payload
-    is null and its size the one its HTTP head states.
+    is null and its size the one its HTTP head states. Without ``payloads`` those of
+    responses are only checked against their digests.
     """
     lines = spark.read.option("lineSep", VERSION.decode()).text(path)
-    return lines.select(F.col("value").cast("binary").alias("value")).mapInArrow(_record_batches, RECORDS)
+    return lines.select(F.col("value").cast("binary").alias("value")).mapInArrow(_record_batches(payloads), RECORDS)
 
 
 def assemble(records: DataFrame) -> DataFrame:
@@ -244,7 +261,7 @@ def archive_pages(pages: DataFrame) -> DataFrame:
     spark = pages.sparkSession
     path = work_dir(spark, "warc")
     write_pages(pages, path)
-    records = stored(read_records(spark, path), "records")
+    records = stored(read_records(spark, path, payloads=False), "records")
     stated = F.regexp_extract(F.element_at("metadata", 1)["payload"].cast("string"), r"page_id: (-?\d+)", 1)
     captures = assemble(records).select(
         "record_id", F.col("type").alias("record_type"),
