@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from medallion.llm import chat, minmax, mixing, pii, planes, seeds, suffixes, topk, toxicity, warc
+from medallion.llm.oracles import ORACLES  # noqa: F401
 from medallion.llm.tokens import tokenizer_file
 from medallion.session import ship_package
 
@@ -76,5 +77,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_exact_topk": op9_exact_topk,
     "op10_decontamination": op10_decontamination,
 }
-
-ORACLES: dict[str, str] = {}
