@@ -116,22 +116,31 @@ class Model:
 
 
 def select_features(sample: list[tuple[bytes, int]]) -> np.ndarray:
-    """The n-grams most unevenly spread over the two classes of documents."""
-    keys, counts = [], []
-    for label in (0, 1):
-        seen = [np.unique(np.concatenate([g for g, _ in grams(t)])) for t, y in sample if y == label]
-        found, count = np.unique(np.concatenate([np.zeros(0, np.uint64), *seen]), return_counts=True)
-        keys.append(found)
-        counts.append(count)
+    """The n-grams most unevenly spread over the two classes of documents.
+
+    Counts are gathered some documents at a time, and of clean documents only for the
+    n-grams of toxic ones, so memory follows the n-grams and not the sample's length.
+    """
+    found, count = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    toxic_texts = [t for t, y in sample if y]
+    for at in range(0, len(toxic_texts), 100):
+        some = [np.unique(np.concatenate([g for g, _ in grams(t)])) for t in toxic_texts[at : at + 100]]
+        joined, place = np.unique(np.concatenate([found, *some]), return_inverse=True)
+        weights = np.concatenate([count, np.ones(len(place) - len(count), np.int64)])
+        found, count = joined, np.bincount(place, weights, len(joined)).astype(np.int64)
+    found, count = found[count >= 3], count[count >= 3]
+    clean = np.zeros(len(found), np.int64)
+    for text in (t for t, y in sample if not y and len(found)):
+        own = np.unique(np.concatenate([g for g, _ in grams(text)]))
+        at = np.minimum(np.searchsorted(found, own), len(found) - 1)
+        clean[at[found[at] == own]] += 1
     n_clean, n_toxic = (sum(y == label for _, y in sample) for label in (0, 1))
-    at = np.minimum(np.searchsorted(keys[0], keys[1]), max(0, len(keys[0]) - 1))
-    clean = np.where(keys[0][at] == keys[1], counts[0][at], 0) if len(keys[0]) else np.zeros(len(keys[1]))
-    toxic_share, clean_share = (counts[1] + 0.5) / (n_toxic + 1), (clean + 0.5) / (n_clean + 1)
+    toxic_share, clean_share = (count + 0.5) / (n_toxic + 1), (clean + 0.5) / (n_clean + 1)
     gain = np.log(toxic_share / clean_share)
-    fit = (counts[1] >= 3) & (gain > 1.5)
-    strength = np.where(fit, gain * counts[1], 0)
+    fit = gain > 1.5
+    strength = np.where(fit, gain * count, 0)
     chosen = np.argsort(-strength, kind="stable")[: min(FEATURES, int(fit.sum()))]
-    return np.sort(keys[1][chosen])
+    return np.sort(found[chosen])
 
 
 def fit(sample: list[tuple[bytes | None, int]]) -> Model:
