@@ -11,28 +11,29 @@ RATE_PER_DISTANCE = "1.75"
 RATE_PER_MINUTE = "0.35"
 
 
-def _money(value: Column | str | float, precision: int = 12, scale: int = 2) -> Column:
+def _exact(value: Column | str | float) -> Column:
+    """All digits a rate or amount may have; products of two keep all of theirs."""
     column = value if isinstance(value, Column) else F.lit(value)
-    return column.cast(f"decimal({precision},{scale})")
+    return column.cast("decimal(16,6)")
 
 
 def _cents(value: Column) -> Column:
-    return F.round(value, 2).cast("decimal(12,2)")
+    return F.round(value, 2).cast("decimal(14,2)")
 
 
 def distance_fare(distance: Column, rate: Column | str = RATE_PER_DISTANCE) -> Column:
     """round(distance × rate, 2) as decimal."""
-    return _cents(_money(distance, 12, 4) * _money(rate, 6, 2))
+    return _cents(_exact(distance) * _exact(rate))
 
 
 def time_fare(minutes: Column, rate: Column | str = RATE_PER_MINUTE) -> Column:
     """round(minutes × rate, 2) as decimal."""
-    return _cents(_money(minutes, 12, 4) * _money(rate, 6, 2))
+    return _cents(_exact(minutes) * _exact(rate))
 
 
 def subtotal(distance: Column, time: Column, base: Column | str, surge: Column) -> Column:
     """round((distance fare + time fare + base) × surge, 2) as decimal."""
-    return _cents((distance + time + _money(base, 6, 2)) * _money(surge, 6, 2))
+    return _cents((distance + time + _exact(base)) * _exact(surge))
 
 
 def fare_columns(
@@ -53,7 +54,7 @@ def fare_columns(
     by_distance = distance_fare(distance, per_distance)
     by_time = time_fare(minutes, per_minute)
     sub = subtotal(by_distance, by_time, base, surge)
-    total = sub + _money(tip, 12, 2)
+    total = _cents(sub + _exact(tip))
     parts = {
         "distance_fare": by_distance,
         "time_fare": by_time,

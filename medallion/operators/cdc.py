@@ -14,16 +14,11 @@ from typing import Literal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from medallion.operators.enrich import BROADCAST_ROWS
-
 Keep = Literal["first", "latest"]
 
 START_AT = "__START_AT"
 END_AT = "__END_AT"
 
-# Above this many rows a key's history is ordered by several tasks.
-HOT_ROWS = 5_000_000
-
 
 @dataclass(frozen=True)
 class CdcSpec:
@@ -51,18 +46,19 @@ class CdcSpec:
         return list(dict.fromkeys([*self.columns, *self.keys, *ordering]))
 
 
-def _all_present(columns: Sequence[str]) -> Column:
+def all_present(columns: Sequence[str]) -> Column:
+    """None of the columns is null."""
     return reduce(lambda a, b: a & b, (F.col(c).isNotNull() for c in columns))
 
 
 def sequenced(df: DataFrame, keys: Sequence[str], sequence_by: str) -> DataFrame:
     """Rows that can be placed in a history: key and sequence are present."""
-    return df.where(_all_present([*keys, sequence_by]))
+    return df.where(all_present([*keys, sequence_by]))
 
 
 def unsequenced(df: DataFrame, keys: Sequence[str], sequence_by: str) -> DataFrame:
     """The complement of :func:`sequenced`, for reporting."""
-    return df.where(~_all_present([*keys, sequence_by]))
+    return df.where(~all_present([*keys, sequence_by]))
 
 
 def _total_order(
@@ -159,30 +155,16 @@ def versions(
 
 
 def _history(
-    rows: DataFrame, keys: Sequence[str], sequence_by: str, tie_break: Sequence[str] | None
-) -> DataFrame:
-    """Versions and their end in one shuffle and one sort per key.
-
-    Rows sharing a sequence are neighbours, the preferred one last: it is the one
-    whose successor has another sequence, and that sequence is its end.
-    """
-    ties = _total_order(rows, [*keys, sequence_by], [], tie_break)
-    order = Window.partitionBy(*keys).orderBy(sequence_by, *ties)
-    dated = rows.withColumn(END_AT, F.lead(sequence_by).over(order))
-    return dated.where(F.col(END_AT).isNull() | (F.col(END_AT) != F.col(sequence_by)))
-
-
-def _history_in_slices(
-    rows: DataFrame, keys: Sequence[str], sequence_by: str, tie_break: Sequence[str] | None
+    df: DataFrame, keys: Sequence[str], sequence_by: str, tie_break: Sequence[str] | None, collapse: bool
 ) -> DataFrame:
-    """The same for keys too long for one task.
+    """Versions and their end, with no key's history in one task.
 
     Copies merge before the shuffle, and range partitioning cuts a key's history
     into slices that are consecutive in time. Within a slice the end is the next
     row's start; a slice's last row takes the first row of the following slice.
     Only slice ends meet in one group, two per slice; inner rows stay spread.
     """
-    merged = versions(rows, keys, sequence_by, tie_break)
+    merged = versions(df, keys, sequence_by, tie_break, collapse)
     sliced = merged.repartitionByRange(*keys, sequence_by).withColumn(
         "__slice", F.spark_partition_id()
     )
@@ -205,46 +187,16 @@ def scd2(
     sequence_by: str,
     tie_break: Sequence[str] | None = None,
     collapse: bool = False,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Type 2: every version with ``__START_AT`` and ``__END_AT`` (null while current).
 
-    There is one version per distinct (key, sequence). Keys with more than
-    ``hot_rows`` rows are looked for first, by a count that reads only the keys;
-    there can be at most rows / hot_rows of them. They take a second path that
-    spreads their history over many tasks.
+    There is one version per distinct (key, sequence). All keys, long or short, take the
+    same path, and nothing is read to choose it.
     """
-    rows = sequenced(df, keys, sequence_by)
-    if collapse:
-        rows = rows.distinct()
-    hot_keys = _hot_keys(rows, keys, hot_rows)
-    if hot_keys is None:
-        dated = _history(rows, keys, sequence_by, tie_break)
-    else:
-        cold = rows.join(hot_keys, list(keys), "left_anti")
-        hot = rows.join(hot_keys, list(keys), "left_semi")
-        dated = _history(cold, keys, sequence_by, tie_break).unionByName(
-            _history_in_slices(hot, keys, sequence_by, tie_break)
-        )
+    dated = _history(df, keys, sequence_by, tie_break, collapse)
     return dated.withColumn(START_AT, F.col(sequence_by)).select(*df.columns, START_AT, END_AT)
 
 
-def _hot_keys(rows: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame | None:
-    """Keys with more than ``hot_rows`` rows, or None if there are none.
-
-    A list short enough to broadcast is fetched, so that splitting by it shuffles
-    nothing; a longer one is left to Spark's join selection.
-    """
-    counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    hot_keys = counted.where(F.col("__n") > hot_rows).select(*keys)
-    found = hot_keys.limit(BROADCAST_ROWS + 1).toArrow()
-    if found.num_rows == 0:
-        return None
-    if found.num_rows > BROADCAST_ROWS:
-        return hot_keys
-    return F.broadcast(rows.sparkSession.createDataFrame(found, hot_keys.schema))
-
-
 def current(history: DataFrame) -> DataFrame:
     """Versions of a type 2 history that are still open."""
     return history.where(F.col(END_AT).isNull())

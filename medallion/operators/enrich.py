@@ -9,19 +9,16 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 100_000
-
-
 @dataclass(frozen=True)
 class JoinSpec:
     """One lookup to join on the left-joined chain.
 
     ``on`` and ``where`` are SQL conditions that may name any earlier alias.
-    The lookup is broadcast only if it proves to hold at most
-    ``broadcast_rows`` rows; a larger one is left to Spark's join selection and
-    AQE's skew handling. Streams have no AQE, so a large lookup on a hot key may
-    be given ``salts`` > 1 there: the hot key's rows are then spread over that
-    many tasks, each meeting its own copy of the lookup row.
+    Whether the lookup is broadcast is Spark's choice by its size in bytes; nothing
+    is read to build the join. Batch joins of two large sides have AQE's skew
+    handling. Streams have no AQE, so a large lookup on a hot key may be given
+    ``salts`` > 1: the key's rows are then spread over that many tasks, each meeting
+    its own copy of the lookup row.
     """
 
     table: DataFrame | str
@@ -29,23 +26,17 @@ class JoinSpec:
     on: str
     select: Sequence[str] = field(default_factory=tuple)
     where: str = ""
-    broadcast_rows: int = BROADCAST_ROWS
     salts: int = 1
 
 
-def fits(df: DataFrame, rows: int) -> bool:
-    """Whether ``df`` holds at most ``rows`` rows.
-
-    Asks for a row beyond that many, column-free, so a longer table is read only
-    up to there.
-    """
-    return rows > 0 and df.select().offset(rows).isEmpty()
-
-
 def _lookup(spark: SparkSession, spec: JoinSpec) -> DataFrame:
     return spark.table(spec.table) if isinstance(spec.table, str) else spec.table
 
 
+def _hashable(df: DataFrame) -> list[str]:
+    return [n for n, t in df.dtypes if "map<" not in t and "variant" not in t]
+
+
 def _conjunction(predicates: Sequence[str]):
     return reduce(lambda a, b: a & b, (F.expr(p) for p in predicates))
 
@@ -68,11 +59,11 @@ def enrich(
     for spec in specs:
         lookup = _lookup(base.sparkSession, spec)
         condition = F.expr(spec.on)
-        if fits(lookup, spec.broadcast_rows):
-            lookup = F.broadcast(lookup)
-        elif spec.salts > 1:
+        if spec.salts > 1:
             salt = f"__salt_{spec.alias}"
-            joined = joined.withColumn(salt, F.floor(F.rand(seed=17) * spec.salts).cast("int"))
+            # From the row itself, so that a recomputed task deals it out alike.
+            row = F.xxhash64(*(F.col(f"{base_alias}.`{c}`") for c in _hashable(base)))
+            joined = joined.withColumn(salt, F.pmod(row, F.lit(spec.salts)).cast("int"))
             lookup = lookup.withColumn(
                 "__salt", F.explode(F.sequence(F.lit(0), F.lit(spec.salts - 1)))
             )

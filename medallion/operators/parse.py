@@ -7,7 +7,7 @@ from typing import Literal
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 CORRUPT = "_corrupt_record"
 
@@ -22,16 +22,19 @@ def flag_malformed(
 ) -> DataFrame:
     """Parse ``column`` into a struct and say which payloads failed to parse.
 
-    A payload is bad if it is null, blank, not a JSON object of the given schema,
-    or has a field of another type.
+    A payload is bad if it is null, blank, anything but one JSON object (another value
+    or text after it counts), or has a field of another type.
     """
     with_corrupt = StructType([*schema.fields, StructField(CORRUPT, StringType(), True)])
     record = F.from_json(F.col(column), with_corrupt, {"columnNameOfCorruptRecord": CORRUPT})
     fields = F.struct(*(F.col(f"__record.`{f.name}`") for f in schema.fields))
+    # As the only member of a list, an object may have nothing after it.
+    as_list = F.concat(F.lit("["), F.col(column), F.lit("]"))
+    objects = ArrayType(StructType(schema.fields[:1]))
     bad = (
         F.col(column).isNull()
-        | (F.trim(column) == "")
-        | F.ltrim(column).startswith("[")
+        | ~F.col(column).rlike(r"^\s*\{")
+        | (F.coalesce(F.size(F.from_json(as_list, objects)), F.lit(-1)) != 1)
         | F.col(f"__record.{CORRUPT}").isNotNull()
     )
     return (

@@ -8,8 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from medallion.operators.cdc import sequenced
-from medallion.operators.enrich import BROADCAST_ROWS, fits
+from medallion.operators.cdc import all_present
 
 
 def count_rows(df: DataFrame, output: str = "n") -> DataFrame:
@@ -83,8 +82,6 @@ def orphan_report(
     """
     per_key = df.groupBy(F.col(key).alias("__fk")).agg(F.count(F.lit(1)).alias("__rows"))
     known = lookup.select(F.col(lookup_key).alias("__pk")).distinct()
-    if fits(known, BROADCAST_ROWS):
-        known = F.broadcast(known)
     joined = per_key.join(known, F.col("__fk") == F.col("__pk"), "left")
     orphan = F.when(F.col("__fk").isNotNull() & F.col("__pk").isNull(), F.col("__rows"))
     zero = F.lit(0).cast("bigint")
@@ -101,7 +98,7 @@ def duplicate_keys(lookup: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def unsequenced_report(df: DataFrame, keys: Sequence[str], sequence_by: str) -> DataFrame:
     """Rows a keyed target cannot place because key or sequence is null."""
-    placed = sequenced(df.withColumn("__all", F.lit(True)), keys, sequence_by)
-    return reconcile_counts({"placed": placed}, df, "received").select(
-        "received", "placed", (F.col("received") - F.col("placed")).alias("unplaced")
+    received, placed = F.count(F.lit(1)), F.count_if(all_present([*keys, sequence_by]))
+    return df.agg(
+        received.alias("received"), placed.alias("placed"), (received - placed).alias("unplaced")
     )

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from medallion.schemas import LOOKUPS, MANIFEST
+from medallion.streaming.publish import JSON_OPTIONS
 
 REPORT = "file string, rows bigint, status string, error string"
 
@@ -55,7 +56,7 @@ def _copy(
     counted = Observation()
     rows = read_json_array(spark, source, schema, multi_line)
     rows = rows.observe(counted, F.count(F.lit(1)).alias("n"))
-    rows.write.mode("overwrite").json(target)
+    rows.write.mode("overwrite").options(**JSON_OPTIONS).json(target)
     return counted.get["n"]
 
 
@@ -92,7 +93,7 @@ def ingest_manifest(
                 )
                 return name, rows, "Succeeded", None
             except Exception as error:  # reported per file, never swallowed
-                failure = str(error).splitlines()[0][:500]
+                failure = str(error) or repr(error)
                 if attempt < retries:
                     time.sleep(retry_interval)
         return name, None, "Failed", failure

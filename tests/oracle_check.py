@@ -22,7 +22,7 @@ def normal(frame: pd.DataFrame) -> list[tuple]:
     columns = sorted(frame.columns)
 
     def cell(value):
-        if value is None or value is pd.NaT or (isinstance(value, float) and value != value):
+        if value is None or value is pd.NaT or value is pd.NA or (isinstance(value, float) and value != value):
             return "<null>"
         if isinstance(value, pd.Timestamp):
             return value.tz_localize(None).isoformat() if value.tz else value.isoformat()

@@ -105,9 +105,8 @@ def test_versions_merge_copies(edge):
     ]
 
 
-@pytest.mark.parametrize("hot_rows", [5_000_000, 0])
-def test_scd2_history(edge, hot_rows):
-    out = scd2(edge, ["k"], "seq", hot_rows=hot_rows)
+def test_scd2_history(edge):
+    out = scd2(edge, ["k"], "seq")
     assert out.columns == ["k", "seq", "v", "w", "__START_AT", "__END_AT"]
     assert [(r[0], r[4], r[5]) for r in rows(out)] == [
         ("a", 1, 2),
@@ -191,5 +190,5 @@ def test_history_properties(spark, changes, seed):
         per_key[r[0]].append((r[4], r[5]))
     for spans in per_key.values():
         assert [end for _, end in spans] == [start for start, _ in spans[1:]] + [None]
-    assert rows(scd2(df, ["k"], "seq", hot_rows=0)) == history
+    assert rows(scd2(df, ["k"], "seq")) == history
     assert rows(scd1(df, ["k"], "seq")) == [r[:4] for r in history if r[5] is None]

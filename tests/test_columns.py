@@ -28,6 +28,12 @@ def test_rate_card(spark):
     assert tuple(out.first()) == (35.0, 6.0, 46.0, 46.0)
 
 
+def test_no_digit_is_lost(spark):
+    df = spark.createDataFrame([(10.0, 100, 1.125, 0.0)], DDL)
+    assert tuple(fares(df, per_distance="1.755", per_minute="0.355").first()) == (17.55, 35.5, 62.49, 62.49)
+    assert fares(df, base="15000.005").first()[2] == 16934.07
+
+
 def test_null_inputs(spark):
     df = spark.createDataFrame([(None, 10, 1.0, 0.0)], DDL)
     assert tuple(fares(df).first()) == (None, 3.5, None, None)

@@ -1,7 +1,8 @@
+import pyarrow as pa
 import pytest
 from conftest import rows
 
-from medallion.operators.enrich import JoinSpec, enrich, fits, label_to_id
+from medallion.operators.enrich import JoinSpec, enrich, label_to_id
 
 
 @pytest.fixture(scope="module")
@@ -65,23 +66,20 @@ def test_predicates_are_a_conjunction(base, colours, groups, first, second, thir
     assert [r[0] for r in rows(out)] == expected
 
 
-def test_fits(spark):
-    assert fits(spark.range(5), 5) and not fits(spark.range(6), 5)
-    assert fits(spark.range(0), 1) and not fits(spark.range(0), 0)
-
-
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_small_lookup_is_broadcast_without_probe_exchange(base, colours):
+def test_small_lookup_is_broadcast_without_probe_exchange(spark, base):
+    # From Arrow, so that its size is known.
+    colours = spark.createDataFrame(pa.table({"cid": [10, 20], "colour": ["red", None], "g": [1, 2]}))
     plan = plan_of(enrich(base, "b", ["b.id"], [spec(colours)]))
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
 
 
 def test_unfit_lookup_is_not_hinted_and_may_be_salted(base, colours):
-    plain = enrich(base, "b", ["b.id"], [spec(colours, broadcast_rows=1)])
-    salted = enrich(base, "b", ["b.id"], [spec(colours, broadcast_rows=1, salts=4)])
+    plain = enrich(base, "b", ["b.id"], [spec(colours)])
+    salted = enrich(base, "b", ["b.id"], [spec(colours, salts=4)])
     assert "hint" not in plain._jdf.queryExecution().analyzed().toString().lower()
     assert salted.columns == plain.columns
     assert rows(salted) == rows(plain)

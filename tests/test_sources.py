@@ -188,3 +188,15 @@ def test_work_dir_is_fresh_and_shared(spark):
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         assert a.startswith(base.rstrip("/"))
+
+
+def test_manifest_reports_an_error_without_text(spark, tmp_path, monkeypatch):
+    from medallion.sources import json_files
+
+    def fails(*_):
+        raise KeyError()
+
+    monkeypatch.setattr(json_files, "_copy", fails)
+    manifest = spark.createDataFrame([("a",)], "file string")
+    row = ingest_manifest(spark, manifest, "{file}", "{file}").first()
+    assert (row.status, row.error) == ("Failed", "KeyError()")

@@ -146,7 +146,7 @@ def test_watermark_accepts_zoneless_time(spark, tmp_path):
 def test_salted_stream_join(spark, tmp_path):
     land(spark, f"{tmp_path}/in", changes(), 1)
     lookup = spark.createDataFrame([("hot", 1), ("a", 2)], "lk string, n bigint")
-    spec = JoinSpec(lookup, "l", "e.k = l.lk", ["l.n"], broadcast_rows=1, salts=4)
+    spec = JoinSpec(lookup, "l", "e.k = l.lk", ["l.n"], salts=4)
     out = enrich(stream(spark, f"{tmp_path}/in"), "e", ["e.id", "e.k"], [spec])
     run_stream(out, f"{tmp_path}/cp", path=f"{tmp_path}/out")
     stored = spark.read.parquet(f"{tmp_path}/out")

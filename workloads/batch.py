@@ -24,7 +24,7 @@ from medallion.session import work_dir
 from medallion.sources.events import read_capture
 from medallion.sources.json_files import ingest_manifest, read_json_array
 from medallion.sources.tables import full_refresh, read_table
-from medallion.streaming.publish import to_events
+from medallion.streaming.publish import JSON_OPTIONS, to_events
 from workloads.inputs import table, write_json_array_lines
 
 K = struct(k=LONG)
@@ -175,6 +175,21 @@ def fare_components(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def fare_precise(spark: SparkSession, sf: str) -> DataFrame:
+    """Rates of three decimals, a surge of three and a base fare above 10,000."""
+    lines = table(spark, sf, "lineitem")
+    fares = fare_columns(
+        F.col("l_quantity"),
+        F.col("l_linenumber"),
+        F.lit(1.005) + F.col("l_discount"),
+        F.col("l_tax"),
+        base="15000.125",
+        per_distance="1.755",
+        per_minute="0.355",
+    )
+    return lines.withColumns(fares).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", *fares)
+
+
 def timeline(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders")
     minutes = (F.col("o_orderkey") % 120).cast("int")
@@ -254,6 +269,29 @@ def manifest_ingested(spark: SparkSession, sf: str) -> DataFrame:
     return report.select("file", F.col("rows").alias("n"), "status")
 
 
+def manifest_copied(spark: SparkSession, sf: str) -> DataFrame:
+    """The rows a manifest's copy holds: nulls and microseconds are kept."""
+    base = work_dir(spark, "manifest")
+    events = table(spark, sf, "events").select(
+        "event_id",
+        F.col("ts").cast("timestamp_ntz").alias("at"),
+        F.when(F.col("event_id") % 3 != 0, F.col("event_type")).alias("note"),
+    )
+    write_json_array_lines(events, f"{base}/source/events.json", "event_id")
+    spark.createDataFrame(pa.table({"file": ["events"]})).write.json(f"{base}/manifest")
+    ingest_manifest(
+        spark,
+        f"{base}/manifest",
+        f"{base}/source/{{file}}.json",
+        f"{base}/raw/{{file}}.json",
+        schemas={"events": events.schema},
+        multi_line=False,
+    )
+    copied = spark.read.text(f"{base}/raw/events.json")
+    fields = F.size(F.json_object_keys("value")).cast("bigint").alias("fields")
+    return copied.select(F.from_json("value", events.schema, JSON_OPTIONS).alias("row"), fields).select("row.*", "fields")
+
+
 def star_read_back(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     customers = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey")
@@ -299,6 +337,7 @@ QUERIES = {
     "scd2_listing": scd2_listing,
     "latest_raw": latest_raw,
     "fare_components": fare_components,
+    "fare_precise": fare_precise,
     "trip_timeline": timeline,
     "flatten_text": text_flattened,
     "label_to_id": labels_to_ids,
@@ -307,6 +346,7 @@ QUERIES = {
     "json_array_scan": json_array_scan,
     "full_refresh": refreshed,
     "manifest_ingest": manifest_ingested,
+    "manifest_copy": manifest_copied,
     "star_readback": star_read_back,
     "quality_report": quality,
     "duplicate_keys": repeated_keys,

@@ -9,7 +9,7 @@ from medallion.functions.columns import fare_columns
 from medallion.schemas import KAFKA_ROW, RIDE, RIDE_HISTORY
 from medallion.session import work_dir
 from medallion.sources.events import read_events
-from medallion.streaming.publish import to_events
+from medallion.streaming.publish import JSON_OPTIONS, to_events
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,7 +35,7 @@ def write_json_array_lines(df: DataFrame, path: str, key: str, per_line: int = 1
     packed = (
         df.select(
             F.expr(f"`{key}` div {per_line}").alias("line"),
-            F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("item"),
+            F.to_json(F.struct(*df.columns), JSON_OPTIONS).alias("item"),
         )
         .groupBy("line")
         .agg(F.concat(F.lit("["), F.concat_ws(",", F.collect_list("item")), F.lit("]")).alias("value"))

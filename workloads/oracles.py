@@ -34,6 +34,21 @@ _FLOWS = (
     "select event_id, user_id, value from events where event_type <> 'purchase'"
 )
 
+_PRECISE = """
+with a as (
+  select l_orderkey, l_linenumber, l_partkey, l_suppkey,
+    round(cast(l_quantity as decimal(12,4)) * cast(1.755 as decimal(6,3)), 2) as df,
+    round(cast(l_linenumber as decimal(12,4)) * cast(0.355 as decimal(6,3)), 2) as tf,
+    cast(1.005 + l_discount as decimal(9,6)) as surge, cast(l_tax as decimal(9,6)) as tip
+  from lineitem),
+b as (
+  select *, round(cast(df + tf + cast(15000.125 as decimal(12,3)) as decimal(16,4)) * surge, 2) as st from a)
+select l_orderkey, l_linenumber, l_partkey, l_suppkey, cast(df as double) as distance_fare,
+  cast(tf as double) as time_fare, cast(st as double) as subtotal,
+  cast(round(st + tip, 2) as double) as total_fare
+from b
+"""
+
 _FARES = """
 with a as (
   select l_orderkey, l_partkey, l_shipdate, l_extendedprice,
@@ -92,6 +107,7 @@ TABLE_ORACLES: dict[str, str] = {
     "scd2_listing": f'select * from ({_SCD2}) order by user_id, "__START_AT"',
     "latest_raw": "select event_id, ts, props from events order by ts desc, event_id desc limit 20",
     "fare_components": _FARES,
+    "fare_precise": _PRECISE,
     "trip_timeline": (
         "select o_orderkey, o_orderdate as pickup, o_orderdate + to_minutes(o_orderkey % 120) as dropoff, "
         "o_orderdate - to_minutes(o_orderkey % 10 + 1) as booking from orders"
@@ -108,6 +124,10 @@ TABLE_ORACLES: dict[str, str] = {
     "capture_unwrap": "select event_id, cast(json_extract_string(props, '$.k') as bigint) as k from events",
     "json_array_scan": "select c_custkey, c_name, c_acctbal from customer",
     "full_refresh": "select o_orderkey, o_orderdate, o_totalprice from orders",
+    "manifest_copy": (
+        "select event_id, ts as at, case when event_id % 3 <> 0 then event_type end as note, "
+        "cast(3 as bigint) as fields from events"
+    ),
     "manifest_ingest": (
         "select 'customer' as file, count(*) as n, 'Succeeded' as status from customer union all "
         "select 'part', count(*), 'Succeeded' from part union all "
