@@ -10,12 +10,23 @@ from pyspark.sql import functions as F
 
 from medallion.session import work_dir
 
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet where every executor can read it, and read back."""
-    path = work_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """``df`` written as Parquet where every executor can read it, and read back.
+
+    What was shuffled to make it is removed as soon as it is written.
+    """
+    spark = df.sparkSession
+    path = work_dir(spark, name)
+    before = spark.conf.get(CLEAN_UP)
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEAN_UP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def need(df: DataFrame, *columns: str) -> DataFrame:

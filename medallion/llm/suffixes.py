@@ -29,13 +29,13 @@ from medallion.llm.store import stored, texts
 from medallion.llm.words import mix
 
 LENGTH = 50
-GRAM = 16
+GRAM = 24
 WINDOW = LENGTH - GRAM + 1
 HALF = WINDOW // 2
 BLOCK_BYTES = 1 << 20
 _PIECE = 1 << 19
 _PLACE = np.uint64((1 << 20) - 1)
-_ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _pieces(text: bytes) -> Iterator[tuple[int, bytes]]:
@@ -51,7 +51,10 @@ def anchors(piece: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     packed = data[:count].copy()
     for i in range(1, 8):
         packed |= data[i : i + count] << np.uint64(8 * i)
-    hashes = mix(packed[: count - 8] * _ODD[0] + mix(packed[8:] * _ODD[1]))
+    runs = len(data) - GRAM + 1
+    hashes = np.zeros(runs, dtype=np.uint64)
+    for at in range(0, GRAM, 8):
+        hashes = mix(hashes * _ODD + packed[at : at + runs])
     least = (hashes & ~_PLACE) | np.arange(len(hashes), dtype=np.uint64)
     span = 1
     while span < WINDOW:
