@@ -314,7 +314,7 @@ def test_suffix_edge_cases(spark):
 
 def test_intervals_find_common_prefixes():
     rng = np.random.default_rng(3)
-    segments = [bytes(rng.choice(list(b"ab"), 70, p=[0.9, 0.1])) for _ in range(30)]
+    segments = [bytes(rng.choice(list(b"ab"), 70, p=[0.9, 0.1]).tolist()) for _ in range(30)]
     found = suffixes.smallest_owners(segments, np.arange(30))
     for i, s in enumerate(segments):
         assert found[i].tolist() == [min(j for j, t in enumerate(segments) if s[a : a + 50] in t) for a in range(21)]
