@@ -388,6 +388,18 @@ def test_base_spans_equal_plain_rules(spark, docs):
         assert row.n_email == sum(b.startswith("email") for b in base)
 
 
+def test_base_spans_without_runs_of_digits(spark):
+    alone = ["+33 1 23 45 67 89", "+1 2 3 4 5 6 7 8", "+12.34.56.78", "411 111 111 111 111 1", "4-1-1-1-1-1-1-1-1-1-1-1-1-1-1-1", "41 11 11 11 11 11 11 11", "a@b.c", "1.2.3.4"]
+    rows = [(2 * i + j, text) for i, t in enumerate(alone) for j, text in enumerate((t, f"call {t} or so"))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r for r in pii.spans(df, None).collect()}
+    for doc_id, text in rows:
+        base = plain_base(text)
+        assert base and found[doc_id].spans == ",".join(base)
+        assert found[doc_id].base_sha256 == hashlib.sha256(",".join(base).encode()).hexdigest()
+    assert all(not re.search("[0-9]", r.text) for r in pii.redacted(df, None).collect())
+
+
 def test_long_runs_need_no_stack(spark):
     long = [(1, "1 " * 20000), (2, "x@" + "a." * 20000 + "b"), (3, "+" + "1" * 50000), (4, "a" * 100000)]
     assert pii.spans(spark.createDataFrame(long, "doc_id long, text string"), None).count() == 4
