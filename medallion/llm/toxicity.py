@@ -5,6 +5,12 @@ document's is the noisy-or of its sentences: toxic if any of them is. Only docum
 labels; the fit passes the error of the noisy-or back to the sentences, whose scores then
 tell which of them offend.
 
+Some clean sentences score high by chance, and the more sentences a text has, the higher
+the best of them. So a sentence counts only above the floor that the sentences of a clean
+text of as many sentences pass with probability ``CHANCE`` in all. Floors are read from
+clean sentences scored by models fitted without their documents; beyond what the sample
+shows, its tail is continued as an exponential one. Length alone makes no text toxic.
+
 The model is fitted on at most ``SAMPLE`` labelled documents of either class, chosen by a
 hash of their id, of at most ``SAMPLE_CHARS`` characters each. Scoring covers every
 sentence of every text, holds one text at a time and shuffles nothing.
@@ -12,8 +18,9 @@ sentence of every text, holds one text at a time and shuffles nothing.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +36,8 @@ OFFENDING = 0.5
 SIZES = (5, 6)
 FEATURES = 20_000
 STEPS = 400
+CHANCE = 0.05
+TAIL = (0.001, 0.01)  # shares of clean sentences the tail is continued from: mislabelled ones lie above
 
 SCORES = (
     "doc_id long, score double, predicted int, "
@@ -39,24 +48,27 @@ _ENDS = np.isin(np.arange(256), list(b".!?\n"))
 _BLANKS = "".join(chr(b) for b in range(128) if not chr(b).isalnum()).encode()
 _PLAIN = bytes.maketrans(_BLANKS, b" " * len(_BLANKS))
 _FILTER_BITS = 20
+_PIECE = 1 << 20
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def grams(text: bytes) -> Iterator[tuple[np.ndarray, int]]:
-    """For each size, the n-gram starting at every byte, as a number that also tells the size.
+    """For each piece and size, the n-gram starting at every byte, as a number that also tells
+    the size, and where the piece starts.
 
     Letters are lower-cased, punctuation and white space count as blanks, and the text
     is framed by blanks, so that beginnings and ends of words show.
     """
     data = b" " + text.lower().translate(_PLAIN) + b" " * max(SIZES)
-    values = np.frombuffer(data, np.uint8).astype(np.uint64)
-    count = len(text) + 1
-    packed, done = np.zeros(count, dtype=np.uint64), 0
-    for size in SIZES:
-        for i in range(done, size):
-            packed = packed | (values[i : i + count] << np.uint64(8 * i))
-        done = size
-        yield packed | np.uint64(size << 56), size
+    for at in range(0, len(text) + 1, _PIECE):
+        count = min(_PIECE, len(text) + 1 - at)
+        values = np.frombuffer(data, np.uint8, count + max(SIZES), at).astype(np.uint64)
+        packed, done = np.zeros(count, dtype=np.uint64), 0
+        for size in SIZES:
+            for i in range(done, size):
+                packed = packed | (values[i : i + count] << np.uint64(8 * i))
+            done = size
+            yield packed | np.uint64(size << 56), at
 
 
 def sentence_bounds(text: bytes) -> np.ndarray:
@@ -71,11 +83,16 @@ def _softplus(z: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Model:
-    """Weights of n-grams, sorted, and the bias of a sentence."""
+    """Weights of n-grams, sorted, and the bias of a sentence.
+
+    ``tail`` has the highest logits of clean sentences, descending, of ``clean`` in all.
+    """
 
     keys: np.ndarray
     weights: np.ndarray
     bias: float
+    tail: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    clean: int = 0
 
     def __post_init__(self) -> None:
         self.present = np.zeros(1 << _FILTER_BITS, dtype=bool)
@@ -89,24 +106,42 @@ class Model:
         """``(bounds, sentence, feature)``: where known n-grams start; one per sentence and feature."""
         bounds = sentence_bounds(text)
         rows = [np.zeros((0, 2), dtype=np.int64)]
-        for found, _ in grams(text):
+        for found, piece in grams(text):
             at = np.flatnonzero(self.present[self._slot(found)])
             place = np.minimum(np.searchsorted(self.keys, found[at]), max(0, len(self.keys) - 1))
             real = self.keys[place] == found[at] if len(self.keys) else np.zeros(0, dtype=bool)
             # The frame puts each n-gram one byte later; a blank before a word belongs to it.
-            sentence = np.minimum(np.searchsorted(bounds, at[real], "right"), len(bounds) - 1)
+            sentence = np.minimum(np.searchsorted(bounds, piece + at[real], "right"), len(bounds) - 1)
             rows.append(np.stack([sentence, place[real]], axis=1))
         pairs = np.unique(np.concatenate(rows), axis=0)
         return bounds, pairs[:, 0], pairs[:, 1]
 
+    def logits(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Where sentences end, and their logits."""
+        bounds, sentence, feature = self.hits(text)
+        return bounds, self.bias + np.bincount(sentence, self.weights[feature], len(bounds))
+
+    def floor(self, sentences: int) -> float:
+        """The logit that any of so many clean sentences passes with probability ``CHANCE``."""
+        if not len(self.tail):
+            return -np.inf
+        rank = CHANCE * self.clean / sentences
+        near = min(max(10, int(TAIL[0] * self.clean)), len(self.tail))
+        far = min(max(100, int(TAIL[1] * self.clean)), len(self.tail))
+        if rank >= near:
+            return float(self.tail[min(int(rank), len(self.tail)) - 1])
+        fall = self.tail[near - 1] - self.tail[far - 1]
+        slope = fall / np.log(far / near) if far > near else 1.0
+        return float(self.tail[near - 1] + slope * np.log(near / rank))
+
     def score(self, text: bytes | None) -> tuple[float, list[tuple[int, int, float]]]:
         """The document's score, and start, end and score of its offending sentences, in characters."""
         if not text:
             return 0.0, []
-        bounds, sentence, feature = self.hits(text)
-        z = self.bias + np.bincount(sentence, self.weights[feature], len(bounds))
-        score = float(-np.expm1(-_softplus(z).sum()))
-        single = -np.expm1(-_softplus(z))
+        bounds, z = self.logits(text)
+        counts = np.where(z > self.floor(len(z)), _softplus(z), 0.0)
+        score = float(-np.expm1(-counts.sum()))
+        single = -np.expm1(-counts)
         offending = []
         for i in np.flatnonzero(single >= OFFENDING):
             start, end = int(bounds[i - 1]) if i else 0, int(bounds[i])
@@ -115,6 +150,10 @@ class Model:
         return score, offending
 
 
+def _distinct(text: bytes) -> np.ndarray:
+    return np.unique(np.concatenate([np.unique(g) for g, _ in grams(text)]))
+
+
 def select_features(sample: list[tuple[bytes, int]]) -> np.ndarray:
     """The n-grams most unevenly spread over the two classes of documents.
 
@@ -124,14 +163,14 @@ def select_features(sample: list[tuple[bytes, int]]) -> np.ndarray:
     found, count = np.zeros(0, np.uint64), np.zeros(0, np.int64)
     toxic_texts = [t for t, y in sample if y]
     for at in range(0, len(toxic_texts), 100):
-        some = [np.unique(np.concatenate([g for g, _ in grams(t)])) for t in toxic_texts[at : at + 100]]
+        some = [_distinct(t) for t in toxic_texts[at : at + 100]]
         joined, place = np.unique(np.concatenate([found, *some]), return_inverse=True)
         weights = np.concatenate([count, np.ones(len(place) - len(count), np.int64)])
         found, count = joined, np.bincount(place, weights, len(joined)).astype(np.int64)
     found, count = found[count >= 3], count[count >= 3]
     clean = np.zeros(len(found), np.int64)
     for text in (t for t, y in sample if not y and len(found)):
-        own = np.unique(np.concatenate([g for g, _ in grams(text)]))
+        own = _distinct(text)
         at = np.minimum(np.searchsorted(found, own), len(found) - 1)
         clean[at[found[at] == own]] += 1
     n_clean, n_toxic = (sum(y == label for _, y in sample) for label in (0, 1))
@@ -144,11 +183,26 @@ def select_features(sample: list[tuple[bytes, int]]) -> np.ndarray:
 
 
 def fit(sample: list[tuple[bytes | None, int]]) -> Model:
-    """Maximum likelihood of the document labels under the noisy-or, by Adam on the whole sample.
+    """A model of the whole sample, with the tail of its clean sentences.
 
-    Without toxic documents no n-gram is chosen and every score is near 0.
+    Each half's clean sentences are scored by a model of the other half; equal texts are
+    in one half. Without toxic documents no n-gram is chosen and every score is near 0.
     """
     sample = [(text or b"", label) for text, label in sample]
+    model = _likeliest(sample)
+    halves = [[r for r in sample if zlib.crc32(r[0]) % 2 == h] for h in (0, 1)]
+    found = [np.zeros(0)]
+    for own, other in (halves, halves[::-1]):
+        apart = _likeliest(other)
+        found += [apart.logits(text)[1] for text, label in own if not label and text]
+    z = np.sort(np.concatenate(found))[::-1]
+    model.clean = len(z)
+    model.tail = z[: max(100, int(np.ceil(CHANCE * len(z))))].copy()
+    return model
+
+
+def _likeliest(sample: list[tuple[bytes, int]]) -> Model:
+    """Maximum likelihood of the document labels under the noisy-or, by Adam on the whole sample."""
     model = Model(select_features(sample), np.zeros(0), -8.0)
     n = len(model.keys)
     doc, sentence, feature, offset, toxic = [], [], [], 0, []

@@ -9,6 +9,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -133,6 +134,30 @@ def test_toxicity_learns_sentences_from_document_labels():
     assert model.score(b"plain words. " * 5000)[0] < 0.5
 
 
+def test_long_clean_prose_is_not_toxic():
+    read = lambda t: pq.read_table(f"/root/testdata/sf0.01/{t}.parquet").to_pydict()
+    docs, labels = read("documents"), read("labels")
+    toxic = dict(zip(labels["doc_id"], labels["toxic"]))
+    known = [(t.encode(), toxic[i]) for i, t in zip(docs["doc_id"], docs["text"]) if toxic.get(i) in (0, 1)]
+    model = toxicity.fit(known)
+    insults = b"idiot clown worthless loser scum disgusting moron stupid pathetic trash".split()
+    clean = [w for t, y in known if not y for w in t.split() if not any(i in w.lower() for i in insults)]
+    rng = np.random.default_rng(2)
+    words = [clean[i] for i in rng.integers(0, len(clean), 350_000)]
+    prose = b" ".join(w + b"." if i % 12 == 11 else w for i, w in enumerate(words))
+    assert len(prose) > 2_000_000
+    score, offending = model.score(prose)
+    assert score < toxicity.THRESHOLD and not offending
+    assert model.score(b"These are plain words. " * 100_000)[0] < toxicity.THRESHOLD
+    worst = b" You worthless idiot, stupid moron, pathetic scum, disgusting trash. "
+    assert model.score(prose + worst)[0] > toxicity.THRESHOLD
+    pieces = np.concatenate([g for g, _ in toxicity.grams(prose)])
+    data = b" " + prose.lower().translate(toxicity._PLAIN) + b" " * 6
+    assert len(pieces) == 2 * (len(prose) + 1)
+    last = toxicity._PIECE - 1
+    assert int(pieces[last]) == int.from_bytes(data[last : last + 5], "little") | 5 << 56
+
+
 def test_toxicity_edge_cases(spark):
     rows = odd_docs(spark)
     labels = spark.createDataFrame([(0, 1, 1, "t"), (1, 1, None, "t"), (None, 0, 0, "t")], "doc_id long, quality int, toxic int, text string")
