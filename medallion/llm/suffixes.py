@@ -11,7 +11,10 @@ together first. Every window of ``LENGTH`` bytes chooses an anchor inside it, th
 bytes of least hash, which depends on nothing outside the window. Anchors found in one
 document only can't lie in a common string. Around the others, the windows that choose
 an anchor form segments; equal segments count once, with their smallest document, and
-segments that may share a window meet in one of many transforms of bounded size.
+segments that may share a window meet in one of many transforms of bounded size. Where
+so many segments meet that they would fill one, as around a line that thousands of texts
+continue differently, they are cut into single windows, which are compared by all their
+bytes and so need no transform.
 """
 
 from __future__ import annotations
@@ -33,6 +36,7 @@ GRAM = 24
 WINDOW = LENGTH - GRAM + 1
 HALF = WINDOW // 2
 BLOCK_BYTES = 1 << 20
+MEETING_BYTES = BLOCK_BYTES >> 5  # of segments that meet in one place, for a transform
 _PIECE = 1 << 19
 _PLACE = np.uint64((1 << 20) - 1)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -201,11 +205,49 @@ def _span_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         )
 
 
+def _window_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each window of the segments by a 128-bit key of its bytes."""
+    for batch in batches:
+        ids, owners, places, windows = [], [], [], []
+        columns = (batch.column(c).to_pylist() for c in ("id", "owner"))
+        for id_, owner, segment in zip(*columns, texts(batch.column("segment"))):
+            for at in range(len(segment) - LENGTH + 1):
+                ids.append(id_)
+                owners.append(owner)
+                places.append(at)
+                windows.append(xxhash.xxh3_128_digest(segment[at : at + LENGTH]))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(ids, pa.binary()), pa.array(owners, pa.int64()), pa.array(places, pa.int32()), pa.array(windows, pa.binary())],
+            names=["id", "owner", "place", "window"],
+        )
+
+
+def _owners_by_window(segments: DataFrame) -> DataFrame:
+    """``(id, owners)`` of ``(id, owner, segment)``, by counting windows instead of ordering suffixes.
+
+    Only rows of one segment, which has ``WINDOW`` windows at most, are brought together.
+    """
+    single = stored(segments.mapInArrow(_window_batches, "id binary, owner long, place int, window binary"), "windows")
+    least = single.groupBy("window").agg(F.min("owner").alias("least"))
+    placed = single.select("id", "place", "window").join(least, "window")
+    listed = placed.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("place", "least"))).alias("owners"))
+    return listed.select("id", F.col("owners.least").alias("owners"))
+
+
+def _owners_by_transform(segments: DataFrame, block_bytes: int) -> DataFrame:
+    """``(id, owners)`` of ``(id, owner, meet, segment)``, by transforms of about ``block_bytes``."""
+    total = segments.agg(F.sum(F.octet_length("segment"))).first()[0] or 0
+    block = F.pmod(F.xxhash64("meet"), F.lit(int(total // block_bytes) + 1))
+    return segments.select("id", "owner", "segment", block.alias("block")).groupBy("block").applyInArrow(
+        _transform, "id binary, owners array<long>"
+    )
+
+
 def _order() -> Column:
     return F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)).alias("ord")
 
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
+def repeated_spans(docs: DataFrame, block_bytes: int = BLOCK_BYTES, meeting_bytes: int = MEETING_BYTES) -> DataFrame:
     """``(ord, text_key, start, end)``: byte spans, which may overlap, that a smaller document has too."""
     plain = docs.select(_order(), F.col("text").cast("binary").alias("text")).where(F.octet_length("text") >= LENGTH)
     hashes = plain.mapInArrow(_anchor_batches, "ord long, hashes array<long>")
@@ -225,10 +267,10 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     )
     meeting = segments.groupBy("meet").agg(F.min("ord").alias("low"), F.max("ord").alias("high")).where("low < high").select("meet")
     distinct = stored(distinct.join(meeting, "meet"), "distinct-segments")
-    total = distinct.agg(F.sum(F.octet_length("segment"))).first()[0] or 0
-    block = F.pmod(F.xxhash64("meet"), F.lit(int(total // BLOCK_BYTES) + 1))
-    owners = distinct.select("id", "owner", "segment", block.alias("block")).groupBy("block").applyInArrow(
-        _transform, "id binary, owners array<long>"
+    sizes = distinct.groupBy("meet").agg(F.sum(F.octet_length("segment")).alias("bytes"))
+    crowded = stored(sizes.where(F.col("bytes") > meeting_bytes).select("meet"), "crowded")
+    owners = _owners_by_transform(distinct.join(crowded, "meet", "left_anti"), block_bytes).unionByName(
+        _owners_by_window(distinct.join(crowded, "meet", "left_semi"))
     )
     owners = stored(owners, "segment-owners")
     placed = segments.select("id", "ord", "text_key", "start").join(owners, "id")

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import base64
+import functools
 import hashlib
 import itertools
+import os
 import re
+import tempfile
 import zlib
 
 import numpy as np
@@ -330,6 +333,28 @@ def test_suffix_removal_equals_brute_force(spark, docs):
     assert all(hashlib.sha256(r.text).hexdigest() == r.kept_sha256 for r in found)
 
 
+def test_a_common_line_with_different_tails_fills_no_block(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    line = "All rights are reserved by the owners of these pages."
+    word = lambda: "".join(rng.choice(list("abcdefgh"), 30))
+    rows = [(i, f"{word()} {line}{word() if i % 9 else ' the same end of a line here'}") for i in range(3000)]
+    inner = suffixes._transform
+    at = f"{tempfile.mkdtemp(prefix='run-')}/blocks"
+
+    def counted(table):
+        with open(at, "a") as f:
+            f.write(f"{sum(map(len, table.column('segment').to_pylist()))}\n")
+        return inner(table)
+
+    monkeypatch.setattr(suffixes, "_transform", counted)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    monkeypatch.setattr(suffixes, "repeated_spans", functools.partial(suffixes.repeated_spans, block_bytes=20_000, meeting_bytes=2_000))
+    found = suffixes.without_repeats(df).collect()
+    assert sorted((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found) == brute_removed([(i, t.encode()) for i, t in rows])
+    sizes = [int(n) for n in open(at)] if os.path.exists(at) else [0]
+    assert max(sizes) <= 40_000
+
+
 def test_suffix_edge_cases(spark):
     rows = odd_docs(spark)
     assert suffixes.without_repeats(rows).where("n_removed > 0").count() == 0
