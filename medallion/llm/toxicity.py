@@ -12,7 +12,7 @@ clean sentences scored by models fitted without their documents; beyond what the
 shows, its tail is continued as an exponential one. Length alone makes no text toxic.
 
 The model is fitted on at most ``SAMPLE`` labelled documents of either class, chosen by a
-hash of their id, of at most ``SAMPLE_CHARS`` characters each. Scoring covers every
+hash of their id, of at most ``SAMPLE_BYTES`` together, whatever the length of each. Scoring covers every
 sentence of every text, holds one text at a time and shuffles nothing.
 """
 
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from medallion.llm.store import text_bytes, texts
 
 SAMPLE = 3000
-SAMPLE_CHARS = 200_000
+SAMPLE_BYTES = 16 << 20
 THRESHOLD = 0.7
 OFFENDING = 0.5
 SIZES = (5, 6)
@@ -241,24 +241,35 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    """A model from the labelled documents that are not held out; only text and label are used."""
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES) -> Model:
+    """A model from the labelled documents that are not held out; only text and label are used.
+
+    Of either class, up to ``sample`` documents in the order of a hash of their ids are
+    taken as far as they fit into ``sample_bytes``. Of rows that share an id, the shortest
+    is taken, and the least of these.
+    """
     known = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
         .where(F.col("toxic").isin(0, 1) & ~held_out())
         .distinct()
     )
     order = F.xxhash64(F.col("doc_id"), F.lit(2))
-    texts_of = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes(), F.length("text").alias("n"))
-    # Ids are few bytes each: those of the sample are chosen before any text is read.
-    chosen = None
+    texts_of = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes()).where("text IS NOT NULL")
+    texts_of = texts_of.withColumn("n", F.octet_length("text"))
+    # Ids and lengths are few bytes each: those of the sample are chosen before any text is read.
+    sizes = texts_of.where(F.col("n") <= sample_bytes).groupBy("doc_id").agg(F.min("n").alias("n"))
+    chosen = []
     for label in (0, 1):
-        one = known.where(F.col("toxic") == label)
-        fitting = one.join(texts_of.where(F.col("n") <= SAMPLE_CHARS).select("doc_id").distinct(), "doc_id", "left_semi")
-        one = fitting.orderBy(order, "doc_id").limit(sample)
-        chosen = one if chosen is None else chosen.unionByName(one)
-    rows = texts_of.where(F.col("n") <= SAMPLE_CHARS).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic")
-    found = sorted((tuple(r) for r in rows.collect()), key=lambda r: (r[0], bytes(r[1]), r[2]))
+        left = sample_bytes
+        one = known.where(F.col("toxic") == label).join(sizes, "doc_id")
+        for doc_id, n in one.orderBy(order, "doc_id").limit(sample).select("doc_id", "n").collect():
+            if n <= left:
+                left -= n
+                chosen.append((doc_id, label, n))
+    chosen = docs.sparkSession.createDataFrame(chosen, "doc_id long, toxic int, n int")
+    rows = texts_of.join(F.broadcast(chosen.select("doc_id", "n").distinct()), ["doc_id", "n"])
+    rows = rows.groupBy("doc_id").agg(F.min("text").alias("text")).join(F.broadcast(chosen), "doc_id")
+    found = sorted((tuple(r) for r in rows.select("doc_id", "text", "toxic").collect()), key=lambda r: (r[0], r[2]))
     return fit([(bytes(text), label) for _, text, label in found])
 
 

@@ -161,6 +161,23 @@ def test_long_clean_prose_is_not_toxic():
     assert int(pieces[last]) == int.from_bytes(data[last : last + 5], "little") | 5 << 56
 
 
+def test_toxicity_sample_is_bounded_by_bytes(spark, monkeypatch):
+    ids = [i for i in range(200) if zlib.crc32(str(i).encode()) % 3 != 1][:40]
+    long = "plain words. " * 20_000
+    rows = [(i, long if i == ids[0] else f"plain words of {i}." + " vile blorg." * (i % 2)) for i in ids]
+    rows += [(ids[1], f"{rows[1][1]} again {k}") for k in range(500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id long, toxic int")
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda sample: seen.append(sample))
+    toxicity.train(df, labels)
+    assert sorted(seen[0]) == sorted((t.encode(), i % 2) for i, t in rows[:40])
+    toxicity.train(df, labels, sample_bytes=400)
+    for label in (0, 1):
+        own = [t for t, y in seen[1] if y == label]
+        assert 300 < sum(map(len, own)) <= 400
+
+
 def test_toxicity_edge_cases(spark):
     rows = odd_docs(spark)
     labels = spark.createDataFrame([(0, 1, 1, "t"), (1, 1, None, "t"), (None, 0, 0, "t")], "doc_id long, quality int, toxic int, text string")
