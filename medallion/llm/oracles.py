@@ -67,9 +67,51 @@ with vectors as (
 select query_id, rank, vec_id, score from ranked where rank <= 20
 """
 
+LINKED = """
+with recursive vectors as (
+  select row_number() over () as r, vec_id, list_transform(embedding, lambda x: cast(x as double)) as e from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x != 0)) > 0
+), links as (
+  select a.vec_id as x, b.vec_id as y from vectors a join vectors b
+  on a.r != b.r and len(a.e) = len(b.e) and list_cosine_similarity(a.e, b.e) >= 0.9
+), reach(x, y) as (
+  select distinct vec_id, vec_id from embeddings
+  union select r.x, l.y from reach r join links l on r.y = l.x
+), parts as (select x as vec_id, min(y) as component_id from reach group by x
+), counts as (select x as vec_id, count(*) as n from links group by x)
+select e.vec_id, coalesce(n, 0) as n_links, component_id, e.vec_id = component_id as kept
+from embeddings e left join counts on counts.vec_id = e.vec_id join parts on parts.vec_id = e.vec_id
+"""
+
+MINED = """
+with vectors as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * cast(x as double))) as e
+  from embeddings
+  where label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+  select a.vec_id as anchor_id, c.vec_id, a.label = c.label as same,
+    cast(list_inner_product(a.e, c.e) as bigint) as score
+  from vectors a join vectors c on a.vec_id % 100 = 0 and c.vec_id != a.vec_id
+), positives as (
+  select anchor_id, vec_id as positive_id, score as positive_score from scored where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+), ranked as (
+  select anchor_id, positive_id, vec_id as negative_id, positive_score, score as negative_score,
+    cast(row_number() over (partition by anchor_id, positive_id order by score desc, vec_id) as integer) as rank
+  from positives join scored using (anchor_id)
+  where not same and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score
+)
+select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from ranked where rank <= 10
+"""
+
 ORACLES = {
     "op1_chat_trees": CHAT,
     "op3_warc_captures": WARC,
     "op5_minhash_dedup": NEAR,
     "op9_exact_topk": TOPK,
+    "op12_flat_graph": LINKED,
+    "op13_hard_negatives": MINED,
 }

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from medallion.llm import chat, minmax, mixing, pii, planes, seeds, suffixes, topk, toxicity, warc
+from medallion.llm import chat, flatgraph, gnat, minmax, mixing, pii, planes, seeds, suffixes, topk, toxicity, warc, whitening
 from medallion.llm.oracles import ORACLES  # noqa: F401
 from medallion.llm.tokens import tokenizer_file
 from medallion.session import ship_package
@@ -65,6 +66,20 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return seeds.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+def op12_flat_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flatgraph.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.expr("vec_id % 7 = 0"), F.expr("(label + 1) % 10")).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", label)
+    return gnat.hard_negatives(vectors, F.expr("vec_id % 100 = 0"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_trees": op1_chat_trees,
     "op2_toxicity": op2_toxicity,
@@ -76,4 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii_spans": op8_pii_spans,
     "op9_exact_topk": op9_exact_topk,
     "op10_decontamination": op10_decontamination,
+    "op11_whitening": op11_whitening,
+    "op12_flat_graph": op12_flat_graph,
+    "op13_hard_negatives": op13_hard_negatives,
 }
