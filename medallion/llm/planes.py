@@ -32,6 +32,7 @@ from medallion.session import work_dir
 
 BLOCK_IDS = 1 << 16
 FILE_TEXT_BYTES = 16 << 20
+RANGE_BYTES = 64
 END_ID = 2
 MAGIC = b"IDPLANE1"
 BATCH_CHARS = 1 << 20
@@ -144,14 +145,17 @@ def write(docs: DataFrame, path: str, tokenizer: str, bits: bool = False, file_b
     """Encode every whole text of ``docs`` and write files of about ``file_bytes`` of text each.
 
     Documents are in ascending order of doc_id, rows without one first, rows of one id
-    by text. A null text is an empty one, which has just the end id. Repeated rows are
-    written as often as they come. An empty table gives no files. Other columns are
-    ignored.
+    by text. Files are cut by id and the first ``RANGE_BYTES`` of the text, so that the rows
+    of an id, or those without one, fill as many files as any others; only texts of one id
+    that begin alike stay together. A null text is an empty one, which has just the
+    end id. Repeated rows are written as often as they come. An empty table gives no
+    files. Other columns are ignored.
     """
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    # Dealt out by id alone: the keys sampled for the ranges are then few bytes each.
-    ordered = plain.repartitionByRange(int(total // file_bytes) + 1, "doc_id")
+    # Not dealt out by whole texts: the keys sampled for the ranges are then few bytes each.
+    start = F.substring("text", 1, RANGE_BYTES)
+    ordered = plain.repartitionByRange(int(total // file_bytes) + 1, F.col("doc_id"), start)
     ordered = ordered.sortWithinPartitions("doc_id", "text")
     rows = ordered.mapInArrow(_file_rows(tokenizer, bits), "value binary")
     rows.select(F.col("value").cast("string")).write.option("lineSep", "\n").text(path)

@@ -18,8 +18,12 @@ _PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p
 # Letters on whose classes all versions of Unicode agree; texts with others go to the library whole.
 _ODD = re.compile("[^\\x09-\\x0d\\x20-\\x7e¡-ԯ‐-‧‰-‾ぁ-ゖァ-ヺ一-龥가-힣]")
 _NEWLINE = np.uint32(198)
-_KEPT = 1_000_000
+_KEPT_BYTES = 64 << 20
 _BATCH = 4096
+# What a kept string takes besides its characters and ids.
+_ENTRY_BYTES = 200
+# Marks of words whose texts can't be encoded word by word, or by pieces either.
+_BY_PIECES, _WHOLE = None, 0
 
 
 def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
@@ -31,70 +35,71 @@ def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
 class Encoder:
     """Texts to ids, as little-endian unsigned 32-bit integers in bytes.
 
-    ``kept`` bounds how many strings are remembered; the ids don't depend on it.
+    ``kept`` bounds the bytes that remembered strings take; the ids don't depend on it.
     """
 
-    def __init__(self, path: str, kept: int = _KEPT) -> None:
+    def __init__(self, path: str, kept: int = _KEPT_BYTES) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.kept = kept
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
-        self.first: dict[str, bytes] = {}  # words that begin a line
-        self.words: dict[str, bytes] = {}  # words after a blank, which belongs to them
+    def forget(self) -> None:
+        # Words with the line feed that precedes them, or without the blank that does.
+        self.words: dict[str, bytes | int | None] = {}
         self.pieces: dict[str, bytes] = {}
+        self.held = 0
 
     def encode(self, text: str) -> bytes:
         return self.encode_many([text])[0]
 
     def encode_many(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text; words new to several texts are handed over together."""
-        plain = {
-            i: [line.split(" ") for line in text.split("\n")]
-            for i, text in enumerate(texts)
-            if not (_ODD.search(text) or "<|" in text)
-        }
-        simple = self._learn(plain)
-        found = []
-        for i, text in enumerate(texts):
-            if i in simple:
-                first, words = self.first, self.words.__getitem__
-                lines = [b"".join([first[w[0]], *map(words, w[1:])]) for w in plain[i]]
-                found.append(_NEWLINE.tobytes().join(lines))
-            else:
-                found.append(self._encode_pieces(text) if i in plain else self._whole(text))
+        """The ids of each text; words new to several texts are handed over together.
+
+        A blank or line feed between two characters that are not white space always
+        starts a piece, so texts can be encoded by words if each word is not empty and
+        free of white space.
+        """
+        cut = [f"\n{text}".replace("\n", " \n").split(" ")[1:] for text in texts]
+        self._learn(set().union(*cut))
+        known, found = self.words, []
+        for text, words in zip(texts, cut):
+            try:
+                found.append(b"".join(map(known.__getitem__, words))[_NEWLINE.nbytes :])
+            except TypeError:
+                odd = any(known[w] == _WHOLE for w in words)
+                found.append(self._whole(text) if odd else self._encode_pieces(text))
         return found
 
     def _whole(self, text: str) -> bytes:
         ids = self.library.encode(text, add_special_tokens=False).ids
         return np.array(ids, dtype="<u4").tobytes()
 
-    def _room(self, more: int) -> None:
-        if len(self.first) + len(self.words) + len(self.pieces) + more > self.kept:
-            self._forget()
-
-    def _learn(self, plain: dict[int, list[list[str]]]) -> set[int]:
-        """Keep the ids of all words of these texts; returns the texts for which that can be done.
-
-        A blank or line feed between two characters that are not white space always
-        starts a piece, so texts can be encoded by words if each word is not empty and
-        free of white space.
-        """
-        self._room(sum(len(words) for lines in plain.values() for words in lines))
-        simple, first, words = set(), {}, {}
-        for i, lines in plain.items():
-            new_first = [w[0] for w in lines if w[0] not in self.first]
-            new_words = [w for line in lines for w in line[1:] if w not in self.words]
-            if all(len(w.split()) == 1 and w == w.strip() for w in (*new_first, *new_words)):
-                simple.add(i)
-                first.update(dict.fromkeys(new_first))
-                words.update(dict.fromkeys(new_words))
-        self.first.update(zip(first, self._encode_lines(list(first))))
-        self.words.update(zip(words, self._encode_lines([" " + w for w in words])))
-        return simple
+    def _remember(self, where: dict, strings: list[str], ids: list) -> None:
+        where.update(zip(strings, ids))
+        self.held += sum(len(s) + len(i or b"") + _ENTRY_BYTES for s, i in zip(strings, ids))
+
+    def _learn(self, words: set[str]) -> None:
+        """Keep the ids of all these words, or the mark of those that spoil a text for it."""
+        if self.held > self.kept:
+            # Words that repeat are most likely among these: they stay.
+            again = [(w, self.words[w]) for w in words if w in self.words]
+            self.forget()
+            self._remember(self.words, [w for w, _ in again], [ids for _, ids in again])
+        first, later = [], []
+        for word in words.difference(self.words):
+            plain = word[1:] if word[:1] == "\n" else word
+            if _ODD.search(plain) or "<|" in plain:
+                self._remember(self.words, [word], [_WHOLE])
+            elif len(plain.split()) != 1 or plain != plain.strip():
+                self._remember(self.words, [word], [_BY_PIECES])
+            else:
+                (later if plain is word else first).append(word)
+        newline = _NEWLINE.tobytes()
+        self._remember(self.words, first, [newline + ids for ids in self._encode_lines([w[1:] for w in first])])
+        self._remember(self.words, later, self._encode_lines([" " + w for w in later]))
 
     def _encode_lines(self, strings: list[str]) -> list[bytes]:
         """The ids of each string. Line feeds are pieces of their own, so they mark where each ends."""
@@ -112,12 +117,10 @@ class Encoder:
         """Any text, piece by piece; pieces that are all white space are encoded alone."""
         pieces = _PIECE.findall(text)
         new = [p for p in dict.fromkeys(pieces) if p not in self.pieces]
-        if new:
-            self._room(len(pieces))
-            new = [p for p in dict.fromkeys(pieces) if p not in self.pieces]
-            self.pieces.update((p, self._whole(p)) for p in new if p.isspace())
-            plain = [p for p in new if not p.isspace()]
-            self.pieces.update(zip(plain, self._encode_lines(plain)))
+        blank = [p for p in new if p.isspace()]
+        plain = [p for p in new if not p.isspace()]
+        self._remember(self.pieces, blank, [self._whole(p) for p in blank])
+        self._remember(self.pieces, plain, self._encode_lines(plain))
         return b"".join(map(self.pieces.__getitem__, pieces))
 
     def decode(self, ids: np.ndarray) -> str:

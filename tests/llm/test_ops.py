@@ -414,6 +414,20 @@ def test_token_files_read_back(spark, docs):
         at += len(ids)
 
 
+def test_token_files_of_a_hot_id_and_of_none_are_cut(spark, docs):
+    from medallion.session import work_dir
+
+    third = F.when(F.col("doc_id") % 3 == 0, 7).when(F.col("doc_id") % 3 == 1, F.col("doc_id")).cast("long")
+    rows, path = docs.select(third.alias("doc_id"), "text"), work_dir(spark, "tokens")
+    planes.write(rows, path, tokens.tokenizer_file(), file_bytes=20_000)
+    sizes = [r["length"] for r in spark.read.format("binaryFile").load(path).select("length").collect()]
+    assert len(sizes) > 10 and max(sizes) < 0.35 * sum(sizes)
+    found = planes.read_documents(spark, path)
+    assert found.groupBy("doc_id").count().where("doc_id = 7 OR doc_id IS NULL").count() == 2
+    tokens_of = lambda t: tokens.encoder(tokens.tokenizer_file()).encode(t or "")
+    assert found.agg(F.sum("n_tokens")).first()[0] == sum(len(tokens_of(r.text)) // 4 + 1 for r in rows.collect())
+
+
 def test_token_files_of_no_rows(spark):
     assert planes.token_files(empty_docs(spark), tokens.tokenizer_file()).count() == 0
 
