@@ -148,37 +148,63 @@ def versions(
 ) -> DataFrame:
     """One row per (key, sequence), the unit a type 2 history is made of."""
     rows = sequenced(df, keys, sequence_by)
-    if collapse:
-        rows = rows.distinct()
     identity = list(dict.fromkeys([*keys, sequence_by]))
+    if collapse:
+        # Dealt out in between, or the optimizer drops the distinct: a maximum is the same without it.
+        rows = rows.distinct().repartition(*identity)
     return _one_per_key(rows, identity, _total_order(rows, identity, [], tie_break), "latest")
 
 
+SLICE = "__slice"
+SLICE_BITS = 12
+SLICE_PREFIX = 13
+
+
+def slice_of(df: DataFrame, sequence_by: str) -> Column:
+    """A coarser value of the sequence, which cuts a long history into consecutive slices.
+
+    Times go by the hour, dates by the month, whole numbers by their bits above ``SLICE_BITS``, other
+    numbers by their whole part, and text by its first ``SLICE_PREFIX`` characters (the
+    hour of a time in ISO format). It never falls as the sequence rises and depends on nothing else.
+    """
+    column, kind = F.col(sequence_by), dict(df.dtypes)[sequence_by]
+    if kind in ("timestamp", "timestamp_ntz"):
+        return F.date_trunc("hour", column)
+    if kind == "date":
+        return F.trunc(column, "month")
+    if kind in ("tinyint", "smallint", "int", "bigint"):
+        return F.shiftright(column.cast("bigint"), SLICE_BITS)
+    if kind == "string":
+        return F.substring(column, 1, SLICE_PREFIX)
+    if kind in ("float", "double"):
+        return F.floor(F.greatest(F.least(column.cast("double"), F.lit(2.0**52)), F.lit(-(2.0**52))))
+    return F.floor(column) if kind.startswith("decimal") else F.lit(0)
+
+
 def _history(
     df: DataFrame, keys: Sequence[str], sequence_by: str, tie_break: Sequence[str] | None, collapse: bool
 ) -> DataFrame:
     """Versions and their end, with no key's history in one task.
 
-    Copies merge before the shuffle, and range partitioning cuts a key's history
-    into slices that are consecutive in time. Within a slice the end is the next
-    row's start; a slice's last row takes the first row of the following slice.
-    Only slice ends meet in one group, two per slice; inner rows stay spread.
+    Rows are dealt out once, by key and slice of the sequence; copies merge and a version's
+    end is found where they then are. Only the last version of each slice travels on, with
+    the slice's first sequence, to meet those of the key's other slices: its end is the
+    first sequence of the next one.
     """
-    merged = versions(df, keys, sequence_by, tie_break, collapse)
-    sliced = merged.repartitionByRange(*keys, sequence_by).withColumn(
-        "__slice", F.spark_partition_id()
-    )
-    within = Window.partitionBy(*keys, "__slice").orderBy(sequence_by)
-    marked = sliced.withColumn("__next", F.lead(sequence_by).over(within)).withColumn(
-        "__prev", F.lag(sequence_by).over(within)
-    )
-    is_end = F.col("__next").isNull() | F.col("__prev").isNull()
-    grouped = marked.withColumn("__ends", F.when(is_end, F.lit(-1)).otherwise(F.col("__slice")))
-    across = Window.partitionBy(*keys, "__ends").orderBy(sequence_by)
-    ended = grouped.withColumn("__across", F.lead(sequence_by).over(across))
-    return ended.withColumn(END_AT, F.coalesce("__next", "__across")).drop(
-        "__slice", "__next", "__prev", "__ends", "__across"
+    rows = sequenced(df, keys, sequence_by)
+    if collapse:
+        rows = rows.distinct()
+    dealt = rows.withColumn(SLICE, slice_of(rows, sequence_by)).repartition(*keys, SLICE)
+    identity = list(dict.fromkeys([*keys, SLICE, sequence_by]))
+    merged = _one_per_key(dealt, identity, _total_order(dealt, identity, [], tie_break), "latest")
+    within = Window.partitionBy(*keys, SLICE).orderBy(sequence_by)
+    marked = merged.withColumn(END_AT, F.lead(sequence_by).over(within)).withColumn(
+        "__opens", F.first(sequence_by).over(within)
     )
+    inner = marked.where(F.col(END_AT).isNotNull())
+    across = Window.partitionBy(*keys).orderBy(sequence_by)
+    last = marked.where(F.col(END_AT).isNull()).withColumn(END_AT, F.lead("__opens").over(across))
+    return inner.unionByName(last).drop(SLICE, "__opens")
 
 
 def scd2(
@@ -197,6 +223,37 @@ def scd2(
     return dated.withColumn(START_AT, F.col(sequence_by)).select(*df.columns, START_AT, END_AT)
 
 
+def splice(
+    stored: DataFrame,
+    changes: DataFrame,
+    keys: Sequence[str],
+    sequence_by: str,
+    tie_break: Sequence[str] | None = None,
+    collapse: bool = False,
+) -> DataFrame:
+    """A stored type 2 history, with ``__END_AT``, after more changes in whatever order they come.
+
+    Of a key only the versions that were open at some time between its earliest and its
+    latest change are ended anew; those closed before or started after stay as they
+    are, and so do all versions of other keys. Changes already stored change nothing.
+    """
+    columns = [c for c in stored.columns if c != END_AT]
+    new = versions(changes.select(*columns), keys, sequence_by, tie_break, collapse)
+    bounds = new.groupBy(*keys).agg(F.min(sequence_by).alias("__from"), F.max(sequence_by).alias("__to"))
+    placed = stored.join(bounds, list(keys), "left")
+    open_then = F.col(END_AT).isNull() | (F.col(END_AT) > F.col("__from"))
+    hit = F.coalesce((F.col(sequence_by) <= F.col("__to")) & open_then, F.lit(False))
+    untouched = placed.where(~hit)
+    following = untouched.where(F.col(sequence_by) > F.col("__to")).groupBy(*keys).agg(
+        F.min(sequence_by).alias("__following")
+    )
+    again = placed.where(hit).select(*columns).unionByName(new)
+    ended = _history(again, keys, sequence_by, tie_break, False).join(following, list(keys), "left")
+    repaired = ended.withColumn(END_AT, F.coalesce(END_AT, "__following"))
+    shown = [*columns, END_AT]
+    return untouched.select(*shown).unionByName(repaired.select(*shown))
+
+
 def current(history: DataFrame) -> DataFrame:
     """Versions of a type 2 history that are still open."""
     return history.where(F.col(END_AT).isNull())

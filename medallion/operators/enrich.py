@@ -9,6 +9,9 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from medallion.operators.cdc import END_AT, START_AT, current
+
+
 @dataclass(frozen=True)
 class JoinSpec:
     """One lookup to join on the left-joined chain.
@@ -18,7 +21,9 @@ class JoinSpec:
     is read to build the join. Batch joins of two large sides have AQE's skew
     handling. Streams have no AQE, so a large lookup on a hot key may be given
     ``salts`` > 1: the key's rows are then spread over that many tasks, each meeting
-    its own copy of the lookup row.
+    its own copy of the lookup row. With ``hot_on``, the key as an expression of the base
+    and of the lookup, only the keys in ``hot`` (as text) are spread and only their lookup
+    rows copied.
     """
 
     table: DataFrame | str
@@ -27,6 +32,8 @@ class JoinSpec:
     select: Sequence[str] = field(default_factory=tuple)
     where: str = ""
     salts: int = 1
+    hot_on: tuple[str, str] | None = None
+    hot: Sequence[str] = ()
 
 
 def _lookup(spark: SparkSession, spec: JoinSpec) -> DataFrame:
@@ -59,14 +66,17 @@ def enrich(
     for spec in specs:
         lookup = _lookup(base.sparkSession, spec)
         condition = F.expr(spec.on)
-        if spec.salts > 1:
+        if spec.salts > 1 and (spec.hot or spec.hot_on is None):
             salt = f"__salt_{spec.alias}"
             # From the row itself, so that a recomputed task deals it out alike.
             row = F.xxhash64(*(F.col(f"{base_alias}.`{c}`") for c in _hashable(base)))
-            joined = joined.withColumn(salt, F.pmod(row, F.lit(spec.salts)).cast("int"))
-            lookup = lookup.withColumn(
-                "__salt", F.explode(F.sequence(F.lit(0), F.lit(spec.salts - 1)))
-            )
+            dealt, copies = F.pmod(row, F.lit(spec.salts)).cast("int"), F.sequence(F.lit(0), F.lit(spec.salts - 1))
+            if spec.hot_on is not None:
+                hot = [F.expr(key).cast("string").isin(*spec.hot) for key in spec.hot_on]
+                dealt = F.when(hot[0], dealt).otherwise(F.lit(0))
+                copies = F.when(hot[1], copies).otherwise(F.array(F.lit(0)))
+            joined = joined.withColumn(salt, dealt)
+            lookup = lookup.alias(spec.alias).withColumn("__salt", F.explode(copies))
             condition = condition & (F.col(salt) == F.col(f"{spec.alias}.__salt"))
         joined = joined.join(lookup.alias(spec.alias), condition, "left")
 
@@ -76,6 +86,34 @@ def enrich(
     return joined.selectExpr(*base_select, *(e for s in specs for e in s.select))
 
 
+@dataclass(frozen=True)
+class Dimension:
+    """A dimension to read back: its rows, the column it hangs on, and its own key if named otherwise."""
+
+    rows: DataFrame
+    on: str
+    key: str | None = None
+
+
+def read_back(fact: DataFrame, dimensions: Sequence[Dimension]) -> DataFrame:
+    """A fact with the columns of its dimensions, each joined from the left in the given order.
+
+    A dimension may hang on a column of the fact or of a dimension before it. Of one that
+    keeps its history the current versions count. Keys appear once, under the name they hang
+    on. Joins carry no hint: Spark broadcasts dimensions that prove small and splits
+    skewed partitions of those that do not.
+    """
+    joined = fact
+    for dimension in dimensions:
+        rows = dimension.rows
+        if END_AT in rows.columns:
+            rows = current(rows).drop(START_AT, END_AT)
+        if dimension.key is not None:
+            rows = rows.withColumnRenamed(dimension.key, dimension.on)
+        joined = joined.join(rows, dimension.on, "left")
+    return joined.select(*fact.columns, *(c for c in joined.columns if c not in fact.columns))
+
+
 def label_to_id(
     df: DataFrame,
     label: str,

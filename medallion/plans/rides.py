@@ -8,9 +8,10 @@ from datetime import datetime, timezone
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from medallion.operators.cdc import END_AT, START_AT, CdcSpec, build_target, current
-from medallion.operators.enrich import JoinSpec, enrich
+from medallion.operators.cdc import END_AT, START_AT, CdcSpec, build_target
+from medallion.operators.enrich import Dimension, JoinSpec, enrich, read_back
 from medallion.schemas import LOOKUPS, RIDE
+from medallion.sources.tables import Buckets
 
 _CITIES_UPDATED = datetime(2026, 7, 15, 18, 54, 57, 136000, tzinfo=timezone.utc)
 
@@ -73,7 +74,7 @@ def default_lookups(spark: SparkSession) -> dict[str, DataFrame]:
     return lookups
 
 
-# table, condition, columns added
+# Table, condition and columns added.
 _JOINS = [
     ("map_vehicle_makes", "r.vehicle_make_id = {t}.vehicle_make_id", ["vehicle_make"]),
     (
@@ -113,6 +114,7 @@ def one_big_table(rides: DataFrame, lookups: Mapping[str, DataFrame | str]) -> D
     return enrich(rides, "r", [f"r.{c}" for c in RIDE.names], join_specs(lookups))
 
 
+# Names, columns and keys of the star's tables.
 # The dimensions are sequenced by their own key, so all rows of a key tie and the
 # earliest booking decides. A dimension whose attributes repeat on every ride is
 # collapsed first; a booking is as fine as the ride itself and is not.
@@ -245,16 +247,22 @@ STAR_KEYS = [
 ]
 
 
+# Tables as fine as the ride itself, which meet on its id.
+FINE = {"fact": ["ride_id"], "dim_booking": ["ride_id"]}
+
+
+def star_buckets(count: int) -> dict[str, Buckets]:
+    """The layout in which the star's two large tables join without a shuffle."""
+    return {name: Buckets(count, keys) for name, keys in FINE.items()}
+
+
 def star_readback(star: Mapping[str, DataFrame]) -> DataFrame:
     """The fact with its dimensions, locations in their current version.
 
-    Joins carry no hint: Spark broadcasts the dimensions that prove small and
-    splits skewed partitions of those that do not.
+    The booking, as fine as the fact, comes first: stored in buckets of the ride both join
+    where they lie.
     """
-    joined = star["fact"]
-    for dim, key in STAR_KEYS:
-        rows = star[dim]
-        if END_AT in rows.columns:
-            rows = current(rows).drop(START_AT, END_AT)
-        joined = joined.join(rows, key, "left")
-    return joined
+    fine_first = sorted(STAR_KEYS, key=lambda d: d[0] not in FINE)
+    wide = read_back(star["fact"], [Dimension(star[dim], key) for dim, key in fine_first])
+    shown = [c for dim, key in STAR_KEYS for c in star[dim].columns if c not in (key, START_AT, END_AT)]
+    return wide.select(*star["fact"].columns, *shown)

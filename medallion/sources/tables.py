@@ -1,8 +1,10 @@
-"""Named tables: resolving names, full refresh, batch and streaming reads."""
+"""Named tables: resolving names, full refresh, published versions, batch and streaming reads."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,6 +51,78 @@ def full_refresh(
     return df.sparkSession.table(name)
 
 
+@dataclass(frozen=True)
+class Buckets:
+    """How a published table is laid out: rows with equal keys in one of ``count`` sorted files.
+
+    Tables with equal buckets join on these keys where they lie.
+    """
+
+    count: int
+    keys: Sequence[str]
+
+
+def _write_version(df: DataFrame, name: str, path: str, fmt: str, buckets: Buckets | None) -> None:
+    writer = df.write.mode("errorifexists").format(fmt).option("path", path)
+    if buckets is not None:
+        dealt = df.repartition(buckets.count, *buckets.keys)
+        writer = dealt.write.mode("errorifexists").format(fmt).option("path", path)
+        writer = writer.bucketBy(buckets.count, *buckets.keys).sortBy(*buckets.keys)
+    writer.saveAsTable(name)
+
+
+def _layout(spark: SparkSession, name: str) -> tuple:
+    """What must be equal for an entry to be switched to another folder: columns, format and buckets."""
+    shown = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE FORMATTED {name}").collect()}
+    return spark.table(name).schema, *(shown.get(k) for k in ("Provider", "Num Buckets", "Bucket Columns", "Sort Columns"))
+
+
+def publish_tables(
+    frames: Mapping[str, DataFrame],
+    layer: Layer,
+    root: str,
+    buckets: Mapping[str, Buckets] | None = None,
+    fmt: str = "parquet",
+) -> dict[str, DataFrame]:
+    """Replace named tables by new versions; returns them as stored.
+
+    Every version is a folder of its own under ``root``. All are complete before the
+    first entry of the catalog is switched to its new folder, so a run that fails shows
+    nothing, and readers that have begun keep the files they began with. Folders of
+    former versions are left for whoever knows that no reader is left.
+    """
+    if not frames:
+        return {}
+    spark = next(iter(frames.values())).sparkSession
+    version = uuid.uuid4().hex
+    made = {}
+
+    def write(table: str) -> None:
+        temporary, path = f"{table}__{version}", f"{root.rstrip('/')}/{table}/{version}"
+        made[table] = (layer.name(temporary), path)
+        _write_version(frames[table], layer.name(temporary), path, fmt, (buckets or {}).get(table))
+
+    try:
+        with ThreadPoolExecutor(max_workers=len(frames)) as pool:
+            list(pool.map(write, frames))
+        for table, (temporary, path) in made.items():
+            # An entry is renamed within its catalog, which its new name leaves out.
+            name, short = layer.name(table), Layer(layer.schema).name(table)
+            if not spark.catalog.tableExists(name):
+                spark.sql(f"ALTER TABLE {temporary} RENAME TO {short}")
+            elif _layout(spark, name) == _layout(spark, temporary):
+                spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+                spark.catalog.refreshTable(name)
+            else:
+                # Other columns or buckets need another entry; the files of both are external and stay.
+                spark.sql(f"DROP TABLE {name}")
+                spark.sql(f"ALTER TABLE {temporary} RENAME TO {short}")
+    finally:
+        for temporary, _ in made.values():
+            spark.sql(f"DROP TABLE IF EXISTS {temporary}")
+    return {table: spark.table(layer.name(table)) for table in frames}
+
+
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.read.table(name)
 

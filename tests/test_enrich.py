@@ -2,7 +2,7 @@ import pyarrow as pa
 import pytest
 from conftest import rows
 
-from medallion.operators.enrich import JoinSpec, enrich, label_to_id
+from medallion.operators.enrich import Dimension, JoinSpec, enrich, label_to_id, read_back
 
 
 @pytest.fixture(scope="module")
@@ -94,3 +94,16 @@ def test_label_to_id(spark):
         ("z", 4),
     ]
     assert rows(label_to_id(df, "kind", ids, "label", "id", "kind_id"))[2] == ("z", None)
+
+
+def test_read_back_takes_current_versions_and_hangs_on_earlier_dimensions(spark):
+    fact = spark.createDataFrame([(1, "a", 5.0), (2, "b", 6.0), (3, None, 7.0)], "id bigint, k string, amount double")
+    history = spark.createDataFrame(
+        [("x", "old", 1, 2), ("x", "new", 2, None), ("y", "only", 1, None)],
+        "g string, label string, __START_AT bigint, __END_AT bigint",
+    )
+    groups = spark.createDataFrame([("a", "x"), ("b", "z")], "code string, group string")
+    out = read_back(fact, [Dimension(groups, "k", "code"), Dimension(history, "group", "g")])
+    assert out.columns == ["id", "k", "amount", "group", "label"]
+    assert rows(out) == [(1, "a", 5.0, "x", "new"), (2, "b", 6.0, "z", None), (3, None, 7.0, None, None)]
+    assert read_back(fact, []).columns == fact.columns

@@ -1,0 +1,51 @@
+from datetime import datetime, timedelta
+
+from conftest import rows
+
+from medallion.streaming.late import KEPT, LATE, reached, read_in_time, start_first_in_time
+
+START = datetime(2026, 1, 1)
+DDL = "id bigint, k string, t timestamp"
+
+
+def at(minutes):
+    return None if minutes is None else START + timedelta(minutes=minutes)
+
+
+def land(spark, path, data):
+    spark.createDataFrame([(i, k, at(m)) for i, k, m in data], DDL).coalesce(1).write.mode("append").parquet(f"{path}/in")
+
+
+def run(spark, path, checkpoint="cp"):
+    arriving = spark.readStream.schema(DDL).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+    start_first_in_time(arriving, ["k"], "t", "10 minutes", f"{path}/out", f"{path}/{checkpoint}").awaitTermination()
+    return [sorted(r["id"] for r in read_in_time(spark, f"{path}/out", t).collect()) for t in (KEPT, LATE)]
+
+
+def test_rows_behind_the_watermark_are_set_aside(spark, tmp_path):
+    batches = [
+        [(0, "a", 0), (1, "b", 5), (2, "a", 1), (3, None, 2), (4, "z", None)],
+        [(5, "a", 20), (6, "b", 6), (7, None, 3), (8, "c", -6)],  # watermark -5
+        [(9, "a", 21), (10, "c", 9), (11, "b", 12), (12, "d", 30)],  # watermark 10
+        [(13, "d", 31), (14, "a", 22), (15, "a", 19), (16, "e", 20)],  # watermark 20
+    ]
+    for batch in batches:
+        land(spark, tmp_path, batch)
+        found = run(spark, tmp_path)
+    # 2, 5, 6, 7, 13 and 14 repeat rows kept in time; at 9 and 11 the first a and b are forgotten.
+    assert found == [[0, 1, 3, 9, 11, 12, 16], [4, 8, 10, 15]]
+    run(spark, tmp_path)
+    assert run(spark, tmp_path) == found and reached(spark, f"{tmp_path}/out").count() >= 4
+
+
+def test_nothing_in_time(spark, tmp_path):
+    land(spark, tmp_path, [(1, "a", None)])
+    assert run(spark, tmp_path) == [[], [1]]
+    land(spark, tmp_path, [(2, "a", 3)])
+    assert run(spark, tmp_path) == [[2], [1]]
+
+
+def test_nothing_arrived(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    assert run(spark, tmp_path) == [[], []]
+    assert rows(read_in_time(spark, f"{tmp_path}/out")) == []

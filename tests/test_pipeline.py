@@ -5,7 +5,8 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from medallion.operators.cdc import build_target
-from medallion.plans.pipeline import Lake, run_batch, run_stream_once
+from medallion.operators.parse import decode_value
+from medallion.plans.pipeline import Lake, run_batch, run_stream_once, stage_rides, start_chain
 from medallion.plans.rides import (
     DIM_SPECS,
     FACT_SPEC,
@@ -17,6 +18,7 @@ from medallion.plans.rides import (
 )
 from medallion.schemas import KAFKA_ROW, LOOKUPS, RIDE, RIDE_HISTORY
 from medallion.sources.events import read_events
+from medallion.streaming.enriched import read_enriched
 from workloads.inputs import ride_events, ride_history
 
 SF = "/root/testdata/sf0.001"
@@ -148,3 +150,33 @@ def test_hot_key_star(spark, batch):
     once = build_star(skewed)
     assert rows(star["dim_passenger"]) == rows(once["dim_passenger"])
     assert rows(star["fact"]) == rows(once["fact"])
+
+
+def test_a_running_chain_meets_new_events_and_new_lookup_rows(spark, tmp_path):
+    events = ride_events(spark, SF).where("value IS NOT NULL")
+    landing, known = f"{tmp_path}/in", f"{tmp_path}/makes"
+    lookups = default_lookups(spark)
+    makes = lookups["map_vehicle_makes"]
+    makes.where("vehicle_make_id <= 3").write.parquet(known)
+    first = F.pmod(F.xxhash64("value"), F.lit(2)) == 0
+    events.where(first).repartition(2).write.parquet(landing)
+
+    def now(session):
+        return {**lookups, "map_vehicle_makes": session.read.schema(makes.schema).parquet(known)}
+
+    raw = read_events(spark, "parquet", {"maxFilesPerTrigger": 1}, KAFKA_ROW, landing)
+    chain = start_chain(raw, now, Lake(f"{tmp_path}/lake"), STAR_SPECS[2:3] + [FACT_SPEC], "1 second", max_files=2)
+    try:
+        early = chain.settle()
+        assert early["fact"].count() > 0 and early["dim_vehicle"].where("vehicle_make_id > 3 AND vehicle_make IS NOT NULL").count() == 0
+        makes.where("vehicle_make_id > 3").write.mode("append").parquet(known)
+        events.where(~first).repartition(2).write.mode("append").parquet(landing)
+        late = chain.settle()
+    finally:
+        chain.stop()
+    star = build_star(one_big_table(stage_rides(decode_value(events)), lookups))
+    assert rows(late["fact"]) == rows(star["fact"])
+    wide = read_enriched(spark, f"{tmp_path}/lake/silver_obt")
+    assert wide.count() == events.count()
+    assert wide.where("vehicle_make_id BETWEEN 4 AND 7 AND vehicle_make IS NOT NULL").count() > 0
+    assert wide.where("vehicle_make_id BETWEEN 4 AND 7 AND vehicle_make IS NULL").count() > 0

@@ -2,6 +2,7 @@ import json
 
 import pytest
 from conftest import rows
+from pyspark.sql.types import LongType, StructField, StructType, TimestampNTZType
 
 from medallion.plans.rides import LOOKUP_ROWS, default_lookups
 from medallion.operators.parse import decode_value, parse_json
@@ -71,6 +72,46 @@ def test_manifest_reports_every_file(spark, tmp_path):
     assert rows(spark.read.json(f"{tmp_path}/raw/ingestion/a.json")) == [(1,), (2,)]
 
 
+def test_manifest_is_copied_in_a_constant_number_of_jobs(spark, tmp_path, monkeypatch):
+    from medallion.sources import json_files
+
+    alone = []
+    real = json_files._copy
+    monkeypatch.setattr(json_files, "_copy", lambda *a: alone.append(a[1]) or real(*a))
+    jobs, names = [], ["a", "b c", "007", "ñ=%", "e"]
+    for count in (2, 5):
+        manifest = write_json(tmp_path / f"files{count}.json", [{"file": n} for n in names[:count]])
+        for i, name in enumerate(names[:count]):
+            write_json(tmp_path / f"src/{name}.json", [{"x": j, "only": {name: None}} for j in range(i + 1)])
+        group = f"jobs-{count}"
+        spark.sparkContext.setJobGroup(group, group)
+        report = ingest_manifest(spark, manifest, f"{tmp_path}/src/{{file}}.json", f"{tmp_path}/raw/{{file}}.json", parallel=1)
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)))
+        assert rows(report.select("file", "rows")) == sorted((n, i + 1) for i, n in enumerate(names[:count]))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[0] == jobs[1] > 0 and not alone
+    assert rows(spark.read.text(f"{tmp_path}/raw/b c.json")) == [('{"only":{"b c":null},"x":0}',), ('{"only":{"b c":null},"x":1}',)]
+    assert not [p for p in (tmp_path / "raw").iterdir() if "staged" in p.name]
+
+
+def test_manifest_with_schemas_folders_and_repeats(spark, tmp_path):
+    schema = StructType([StructField("x", LongType()), StructField("t", TimestampNTZType())])
+    write_json(tmp_path / "src/one.json", [{"x": 1, "t": "2024-01-01T00:00:00.000001"}, {"x": None}])
+    write_json(tmp_path / "src/wrong.json", [{"x": "text"}, {"x": 2}])
+    write_json(tmp_path / "src/none.json", [])
+    for part in range(3):
+        write_json(tmp_path / f"src/many.json/part-{part}.json", [{"x": part}])
+    names = ["one", "wrong", "none", "many", "one"]
+    manifest = spark.createDataFrame([(n,) for n in names], "file string")
+    schemas = {n: schema for n in names}
+    report = ingest_manifest(spark, manifest, f"{tmp_path}/src/{{file}}.json", f"{tmp_path}/raw/{{file}}.json", schemas)
+    assert [(r["file"], r["rows"], r["status"]) for r in report.collect()] == [
+        ("one", 2, "Succeeded"), ("wrong", None, "Failed"), ("none", 0, "Succeeded"), ("many", 3, "Succeeded"), ("one", 2, "Succeeded"),
+    ]
+    assert rows(spark.read.text(f"{tmp_path}/raw/one.json")) == [('{"x":1,"t":"2024-01-01T00:00:00.000001"}',), ('{"x":null,"t":null}',)]
+    assert not (tmp_path / "raw/wrong.json/_SUCCESS").exists()
+
+
 def test_manifest_failure_stops_before_copying(spark, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         ingest_manifest(spark, f"{tmp_path}/none.json", "x/{file}", f"{tmp_path}/out/{{file}}")
@@ -103,14 +144,14 @@ def test_manifest_retries(spark, tmp_path, monkeypatch):
 
 
 def test_capture_has_kafka_columns(spark, tmp_path):
-    body = json.dumps({"ride_id": "r1", "tip_amount": 2, "rating": None, "booking_timestamp": "2026-06-28T22:24:18.113313"})
-    entry = {"body": body, "offset": "5", "sequenceNumber": 5, "enqueuedTimeUtc": "2026-07-14T11:31:20.753Z", "partitionId": "3"}
+    body = json.dumps({"ride_id": "r1", "tip_amount": 2, "rating": None, "booking_timestamp": "2025-02-03T14:15:16.987654"})
+    entry = {"body": body, "offset": "5", "sequenceNumber": 5, "enqueuedTimeUtc": "2025-03-09T04:05:06.789Z", "partitionId": "3"}
     events = read_capture(spark, write_json(tmp_path / "c.json", [entry]))
     assert [(f.name, f.dataType) for f in events.schema] == [(f.name, f.dataType) for f in KAFKA_ROW]
     assert events.first()["partition"] == 3 and events.first()["offset"] == 5
     ride = parse_json(decode_value(events), "rides", RIDE).first()
     assert (ride["ride_id"], ride["tip_amount"], ride["rating"]) == ("r1", 2.0, None)
-    assert ride["booking_timestamp"].microsecond == 113313
+    assert ride["booking_timestamp"].microsecond == 987654
 
 
 def test_kafka_options():
@@ -160,11 +201,11 @@ def test_full_refresh_replaces_rows_and_schema(spark, tmp_path):
 
 
 def test_events_keep_nulls_and_microseconds(spark):
-    df = spark.sql("SELECT 1 AS id, CAST(NULL AS DOUBLE) AS rating, timestamp'2026-06-28 22:24:18.113313' AS t")
+    df = spark.sql("SELECT 1 AS id, CAST(NULL AS DOUBLE) AS rating, timestamp'2025-02-03 14:15:16.987654' AS t")
     assert json.loads(to_events(df).first()["value"]) == {
         "id": 1,
         "rating": None,
-        "t": "2026-06-28T22:24:18.113313",
+        "t": "2025-02-03T14:15:16.987654",
     }
     assert to_events(df, key="id").columns == ["key", "value"]
     back = parse_json(to_events(df), "value", df.schema)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from medallion.functions.columns import capitalise, fare_columns, flatten_text, trip_timeline
 from medallion.operators.cdc import current, dedup_first, scd1, scd2
-from medallion.operators.enrich import JoinSpec, enrich, label_to_id
+from medallion.operators.enrich import Dimension, JoinSpec, enrich, label_to_id, read_back
 from medallion.operators.flows import append_flows
 from medallion.operators.parse import cast_event_time, decode_value, flag_malformed, parse_json
 from medallion.operators.quality import (
@@ -226,7 +226,7 @@ def capture(spark: SparkSession, sf: str) -> DataFrame:
         F.col("props").alias("body"),
         F.col("event_id").cast("string").alias("offset"),
         F.col("event_id").alias("sequenceNumber"),
-        F.lit("2026-07-14T11:31:20.753Z").alias("enqueuedTimeUtc"),
+        F.lit("2025-03-09T04:05:06.789Z").alias("enqueuedTimeUtc"),
         F.lit("0").alias("partitionId"),
     )
     write_json_array_lines(envelope, path, "sequenceNumber")
@@ -297,12 +297,15 @@ def star_read_back(spark: SparkSession, sf: str) -> DataFrame:
     customers = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey")
     nations = table(spark, sf, "nation").select("n_nationkey", "n_name")
     fact = _fact(spark, sf).select("l_orderkey", "l_linenumber", "l_extendedprice")
-    return (
-        fact.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
-        .join(customers, F.col("o_custkey") == F.col("c_custkey"), "left")
-        .join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-        .select("l_orderkey", "l_linenumber", "l_extendedprice", "o_orderdate", "c_name", "n_name")
+    wide = read_back(
+        fact,
+        [
+            Dimension(orders, "l_orderkey", "o_orderkey"),
+            Dimension(customers, "o_custkey", "c_custkey"),
+            Dimension(nations, "c_nationkey", "n_nationkey"),
+        ],
     )
+    return wide.select("l_orderkey", "l_linenumber", "l_extendedprice", "o_orderdate", "c_name", "n_name")
 
 
 def quality(spark: SparkSession, sf: str) -> DataFrame:

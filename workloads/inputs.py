@@ -89,9 +89,8 @@ _ISO = "yyyy-MM-dd'T'HH:mm:ss"
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores where a table is too few files for that; else unchanged."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    """Rows dealt out over all cores, however many files they come from."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 def rides(spark: SparkSession, sf_dir: str) -> DataFrame:

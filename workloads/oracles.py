@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from medallion.operators.cdc import CdcSpec
-from medallion.plans.rides import DIM_SPECS, FACT_SPEC, LOOKUP_ROWS, STAR_KEYS
+from medallion.plans.rides import DIM_SPECS, FACT_SPEC, STAR_SPECS, LOOKUP_ROWS, STAR_KEYS
 from medallion.schemas import LOOKUPS, RIDE
 from workloads.inputs import RIDE_SQL
 
@@ -152,10 +152,25 @@ TABLE_ORACLES: dict[str, str] = {
         "select e.event_id, e.ts, e.user_id, c.c_name, c.c_mktsegment from events e "
         "left join customer c on e.user_id = c.c_custkey"
     ),
+    "stream_lookup_refresh": (
+        "with e as (select event_id, cast(case when event_id % 3 = 0 then 1 else user_id end as bigint) as user_id from events) "
+        "select e.event_id, e.user_id, c.c_name from e "
+        "left join customer c on e.user_id = c.c_custkey and c.c_custkey % 4 <= e.event_id % 4"
+    ),
+    "stream_late_aside": (
+        "with reached as (select event_id % 5 as part, max(ts) as latest from events group by 1) "
+        "select event_id, coalesce(ts < (select max(latest) from reached where part < event_id % 5) - interval 3 minutes, false) "
+        "as is_late from events"
+    ),
     "stream_dedup": "select distinct user_id from events",
+    "stream_first_seen": (
+        "select user_id, event_type, event_id, ts, value from events "
+        "qualify row_number() over (partition by user_id, event_type order by ts, event_id) = 1"
+    ),
     "stream_dedup_bounded": "select distinct event_id from events",
     "stream_scd1": _SCD1_LATEST,
     "stream_scd2": _SCD2,
+    "stream_scd2_late": _SCD2,
 }
 
 
@@ -302,15 +317,31 @@ from rides
 """
 
 
+def _reconciled() -> str:
+    """Per stored table, rows of its source with and without key and sequence."""
+    parts = ["select 'stg_rides' as name, count(*) as received, count(*) as placed, 0 as unplaced, true as ok from rides"]
+    for spec in STAR_SPECS:
+        present = " and ".join(f"{c} is not null" for c in dict.fromkeys([*spec.keys, spec.sequence_by]))
+        parts.append(
+            f"select '{spec.name}', count(*), count(*) filter (where {present}), "
+            f"count(*) filter (where not ({present})), true from obt"
+        )
+    return " union all ".join(parts)
+
+
 def oracles() -> dict[str, str]:
     obt = _obt_ctes()
     star = _star()
     return {
         **TABLE_ORACLES,
         "ride_obt": _with(obt, "select * from obt"),
+        "manifest_obt": _with(obt, "select * from obt"),
         **{f"ride_{name}": _with(obt, sql) for name, sql in _targets().items()},
         "ride_star": star,
+        "ride_catalog": star,
+        "ride_reconciled": _with(obt, _reconciled()),
         "stream_star": star,
+        "stream_star_increments": star,
         "ride_quality": _with(_rides_ctes(), _QUALITY),
         "ride_unplaced": _with(
             obt,

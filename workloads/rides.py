@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
-from medallion.operators.cdc import build_target
+from medallion.operators.cdc import END_AT, build_target
 from medallion.operators.parse import decode_value
 from medallion.operators.quality import (
     cancellation_rules,
@@ -15,18 +16,24 @@ from medallion.operators.quality import (
     timeline_rules,
     unsequenced_report,
 )
-from medallion.plans.pipeline import Lake, stage_rides, store_targets
+from medallion.operators.tally import Tally, read_ledger, reconciled
+from medallion.plans.pipeline import Lake, run_batch, stage_rides
 from medallion.plans.rides import (
     DIM_SPECS,
     FACT_SPEC,
+    STAR_KEYS,
     STAR_SPECS,
     build_star,
     default_lookups,
     one_big_table,
+    star_buckets,
     star_readback,
 )
+from medallion.schemas import LOOKUPS
 from medallion.session import work_dir
-from workloads.inputs import bulk_rides, raw_rides, without_zone, written_once
+from medallion.sources.json_files import ingest_manifest, load_lookups
+from medallion.sources.tables import Layer, publish_tables
+from workloads.inputs import bulk_rides, raw_rides, without_zone, write_json_array_lines, written_once
 
 
 def staged(spark: SparkSession, sf: str) -> DataFrame:
@@ -47,6 +54,22 @@ def ride_obt(spark: SparkSession, sf: str) -> DataFrame:
     return without_zone(obt(spark, sf))
 
 
+def manifest_obt(spark: SparkSession, sf: str) -> DataFrame:
+    """Lookups copied by a manifest, loaded from the copies, and joined to the rides."""
+    base = work_dir(spark, "manifest-obt")
+    lookups = default_lookups(spark)
+    for name, rows in lookups.items():
+        write_json_array_lines(rows, f"{base}/source/{name}.json", LOOKUPS[name].names[0])
+    manifest = spark.createDataFrame([(n,) for n in lookups], "file string")
+    places = (f"{base}/source/{{file}}.json", f"{base}/raw/{{file}}.json")
+    report = ingest_manifest(spark, manifest, *places, schemas=LOOKUPS, multi_line=False)
+    failed = report.where("status <> 'Succeeded'").collect()
+    if failed:
+        raise RuntimeError(f"not copied: {failed}")
+    copied = load_lookups(spark, f"{base}/raw", multi_line=False)
+    return without_zone(one_big_table(staged(spark, sf), copied))
+
+
 def ride_target(name: str, spark: SparkSession, sf: str) -> DataFrame:
     spec = next(s for s in STAR_SPECS if s.name == name)
     return without_zone(build_target(stored_obt(spark, sf), spec))
@@ -54,10 +77,38 @@ def ride_target(name: str, spark: SparkSession, sf: str) -> DataFrame:
 
 def ride_star(spark: SparkSession, sf: str) -> DataFrame:
     """The star stored as tables, then read back as one."""
-    star = store_targets(build_star(stored_obt(spark, sf)), Lake(work_dir(spark, "ride-star")))
+    root, schema = work_dir(spark, "ride-star"), f"star_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE SCHEMA {schema} LOCATION '{root}/schema'")
+    star = publish_tables(build_star(stored_obt(spark, sf)), Layer(schema), root, star_buckets(8))
     return without_zone(star_readback(star))
 
 
+def ride_catalog(spark: SparkSession, sf: str) -> DataFrame:
+    """The star published twice under catalog names, and read back by name in SQL."""
+    root, schema = work_dir(spark, "ride-catalog"), f"rides_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE SCHEMA {schema} LOCATION '{root}/schema'")
+    layer = Layer(schema, "spark_catalog")
+    for _ in range(2):
+        publish_tables(build_star(stored_obt(spark, sf)), layer, root, star_buckets(8))
+    shown = [f"fact.{c}" for c in FACT_SPEC.columns]
+    joins = []
+    for name, key in STAR_KEYS:
+        columns = next(s for s in DIM_SPECS if s.name == name).columns
+        shown += [f"{name}.{c}" for c in columns if c != key]
+        now = f" AND {name}.{END_AT} IS NULL" if name == "dim_location" else ""
+        joins.append(f"LEFT JOIN {schema}.{name} ON fact.{key} = {name}.{key}{now}")
+    fact = f"spark_catalog.{schema}.fact"
+    return without_zone(spark.sql(f"SELECT {', '.join(shown)} FROM {fact} fact {' '.join(joins)}"))
+
+
+def ride_reconciled(spark: SparkSession, sf: str) -> DataFrame:
+    """What each stored table received, counted as it was written."""
+    root = work_dir(spark, "ride-reconciled")
+    tally = Tally(spark, f"{root}/_runs", "first")
+    run_batch(raw_rides(spark, sf), default_lookups(spark), Lake(root), bulk_rides(spark, sf), tally=tally)
+    return reconciled(read_ledger(spark, f"{root}/_runs")).drop("run")
+
+
 def ride_quality(spark: SparkSession, sf: str) -> DataFrame:
     rules = {**fare_rules(), **timeline_rules(), **cancellation_rules()}
     return rules_report(staged(spark, sf), rules)
@@ -70,8 +121,11 @@ def ride_unplaced(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "ride_obt": ride_obt,
+    "manifest_obt": manifest_obt,
     **{f"ride_{s.name}": partial(ride_target, s.name) for s in [*DIM_SPECS, FACT_SPEC]},
     "ride_star": ride_star,
+    "ride_catalog": ride_catalog,
+    "ride_reconciled": ride_reconciled,
     "ride_quality": ride_quality,
     "ride_unplaced": ride_unplaced,
 }
