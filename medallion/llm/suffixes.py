@@ -10,21 +10,24 @@ One transform of the whole corpus would be one task, so equal strings are brough
 together first. Every window of ``LENGTH`` bytes chooses an anchor inside it, the ``GRAM``
 bytes of least hash, which depends on nothing outside the window. Anchors found in one
 document only can't lie in a common string. Around the others, the windows that choose
-an anchor form segments; equal segments count once, with their smallest document, and
-segments that may share a window meet in one of many transforms of bounded size. Where
-so many segments meet that they would fill one, as around a line that thousands of texts
-continue differently, they are cut into single windows, which are compared by all their
-bytes and so need no transform.
+an anchor form segments, and segments that may share a window meet, by the bytes around
+their anchor, in one of many transforms of bounded size. Around an anchor that very many
+documents have, segments are cut into single windows, which meet by all their bytes.
+
+Texts are dealt into parts. A part names each anchor and each segment once, whatever the
+number of its documents that have it, in lists by the bucket or block they go to; so
+the rows that travel are few and long, and a string that all documents share arrives
+once from each part.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,8 +38,11 @@ LENGTH = 50
 GRAM = 24
 WINDOW = LENGTH - GRAM + 1
 HALF = WINDOW // 2
+PART_BYTES = 8 << 20
+BUCKET_BYTES = 16 << 20  # of text, whose anchors fill a bucket
 BLOCK_BYTES = 1 << 20
-MEETING_BYTES = BLOCK_BYTES >> 5  # of segments that meet in one place, for a transform
+MEETING_BYTES = BLOCK_BYTES >> 5  # of windows that may meet around one anchor
+SEGMENT_BYTES = 2 * (LENGTH + WINDOW // 4)  # of an anchor's two segments, about
 _PIECE = 1 << 19
 _PLACE = np.uint64((1 << 20) - 1)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -48,17 +54,26 @@ def _pieces(text: bytes) -> Iterator[tuple[int, bytes]]:
         yield at, text[at : at + _PIECE + LENGTH - 1]
 
 
-def anchors(piece: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def packed(piece: bytes) -> np.ndarray:
+    """The eight bytes from each place on as one number."""
+    data = np.frombuffer(piece + bytes(7), np.uint8)
+    return np.lib.stride_tricks.sliding_window_view(data, 8).copy().view("<u8").reshape(-1)
+
+
+def string_hashes(words: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+    """Hashes of the strings of this length that start at these places."""
+    hashes = np.zeros(len(at), dtype=np.uint64)
+    for step in [*range(0, length - 7, 8), length - 8]:
+        hashes = mix(hashes * _ODD + words[at + step])
+    return hashes.view(np.int64)
+
+
+def anchors(words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(first, place, hash)`` of each run of windows with the same anchor."""
-    data = np.frombuffer(piece, np.uint8).astype(np.uint64)
-    count = len(data) - 7
-    packed = data[:count].copy()
-    for i in range(1, 8):
-        packed |= data[i : i + count] << np.uint64(8 * i)
-    runs = len(data) - GRAM + 1
+    runs = len(words) - GRAM + 1
     hashes = np.zeros(runs, dtype=np.uint64)
     for at in range(0, GRAM, 8):
-        hashes = mix(hashes * _ODD + packed[at : at + runs])
+        hashes = mix(hashes * _ODD + words[at : at + runs])
     least = (hashes & ~_PLACE) | np.arange(len(hashes), dtype=np.uint64)
     span = 1
     while span < WINDOW:
@@ -71,52 +86,153 @@ def anchors(piece: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return first, place, hashes[place].view(np.int64)
 
 
-def _anchor_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        found = [
-            np.unique(np.concatenate([np.zeros(0, np.int64), *(anchors(p)[2] for _, p in _pieces(t))]))
-            for t in texts(batch.column("text"))
+def _groups(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``(order, starts)``: positions in order of their key, and where each key begins there."""
+    order = np.argsort(keys, kind="stable")
+    ranked = keys[order]
+    return order, np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1])) if len(keys) else np.zeros(0, np.int64)
+
+
+def _lists(column: pa.ChunkedArray) -> np.ndarray:
+    """The values of a column of lists, one after another."""
+    return column.combine_chunks().flatten().to_numpy(zero_copy_only=False)
+
+
+def _of_groups(values: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
+    return np.split(values, starts[1:])
+
+
+def _ints(values: np.ndarray) -> np.ndarray:
+    return values.astype(np.int32)
+
+
+ANCHORS = "bucket int, part int, hashes array<long>, lows array<long>, highs array<long>, documents array<int>"
+
+
+def _anchor_batches(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Each part's anchors, by bucket: the least and largest document that has them, and how many."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, list[tuple[np.ndarray, int]]] = {}
+        for batch in batches:
+            ids = zip(batch.column("part").to_pylist(), batch.column("ord").to_pylist())
+            for (part, ord_), text in zip(ids, texts(batch.column("text"))):
+                own = [anchors(packed(p))[2] for _, p in _pieces(text)]
+                found.setdefault(part, []).append((np.unique(np.concatenate(own)), ord_))
+        for part, documents in found.items():
+            hashes = np.concatenate([h for h, _ in documents])
+            ords = np.repeat(np.array([o for _, o in documents]), [len(h) for h, _ in documents])
+            order, starts = _groups(hashes)
+            low, high = np.minimum.reduceat(ords[order], starts), np.maximum.reduceat(ords[order], starts)
+            count = np.diff(np.append(starts, len(order))).astype(np.int32)
+            hashes = hashes[order][starts]
+            by, cuts = _groups(hashes.view(np.uint64) % np.uint64(buckets))
+            numbers = (hashes.view(np.uint64) % np.uint64(buckets))[by][cuts].astype(np.int32)
+            lists = [
+                pa.array(_of_groups(v[by], cuts), pa.list_(kind))
+                for v, kind in ((hashes, pa.int64()), (low, pa.int64()), (high, pa.int64()), (count, pa.int32()))
+            ]
+            columns = [pa.array(numbers), pa.array(np.full(len(numbers), part, np.int32)), *lists]
+            yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in ANCHORS.split(", ")])
+
+    return task
+
+
+SHARED = "part int, hashes array<long>, crowded array<long>"
+
+
+def _shared_anchors(crowd: int) -> Callable[[pa.Table], pa.Table]:
+    """Back to each part, its anchors that more than one document has, and which of them more than ``crowd``."""
+
+    def task(table: pa.Table) -> pa.Table:
+        hashes, low, high, count = (_lists(table.column(c)) for c in ("hashes", "lows", "highs", "documents"))
+        order, starts = _groups(hashes)
+        shared = np.minimum.reduceat(low[order], starts) < np.maximum.reduceat(high[order], starts)
+        crowded = shared & (np.add.reduceat(count[order].astype(np.int64), starts) > crowd)
+        sizes = np.diff(np.append(starts, len(order)))
+        is_shared, is_crowded = np.empty(len(order), bool), np.empty(len(order), bool)
+        is_shared[order], is_crowded[order] = np.repeat(shared, sizes), np.repeat(crowded, sizes)
+        ends = np.cumsum(pc.list_value_length(table.column("hashes")).to_numpy())
+        lists = [
+            pa.array([h[k] for h, k in zip(np.split(hashes, ends[:-1]), np.split(kept, ends[:-1]))], pa.list_(pa.int64()))
+            for kept in (is_shared, is_crowded)
         ]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("ord"), pa.array(found, pa.list_(pa.int64()))], names=["ord", "hashes"]
-        )
+        return pa.table([table.column("part"), *lists], names=["part", "hashes", "crowded"])
+
+    return task
+
+
+SEGMENTS = (
+    "part int, block int, ids array<int>, owners array<long>, keys array<long>, segments array<binary>, "
+    "documents array<int>, starts array<int>, windows array<int>, ords array<long>, text_keys array<long>"
+)
+PLACES = -1  # the block of the row that says where a part's segments lie
 
 
-SEGMENTS = "ord long, text_key long, start long, meet long, segment binary"
+def _is_in(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    if not len(known):
+        return np.zeros(len(values), dtype=bool)
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
 
 
-def _segment_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Segments of the windows around shared anchors.
+def segments_of(piece: bytes, known: np.ndarray, crowded: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(first, count, key)``: runs of windows around shared anchors, and where their equals meet.
 
     A window holds, besides its anchor, at least ``HALF`` bytes on one side; with these
     the place where its equals meet is far rarer than the anchor alone.
     """
-    for batch in batches:
-        ords, keys, starts, meets, segments = [], [], [], [], []
-        columns = (batch.column(c).to_pylist() for c in ("ord", "text_key"))
-        for ord_, text_key, text, shared in zip(*columns, texts(batch.column("text")), batch.column("hashes")):
-            known = np.sort(shared.values.to_numpy())
+    words = packed(piece)
+    first, place, hashes = anchors(words)
+    after = np.append(first[1:], len(piece) - LENGTH + 1)
+    wide, single = _is_in(hashes, known), _is_in(hashes, crowded)
+    a, b, p = (v[wide & ~single] for v in (first, after, place))
+    # Windows from a to cut hold HALF bytes before the anchor, the rest after it.
+    cut = np.minimum(b, np.maximum(a, p - HALF + 1))
+    left, right = a < cut, cut < b
+    sizes = (after - first)[single]
+    alone = np.repeat(first[single] - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))
+    low = np.concatenate([a[left], cut[right], alone])
+    count = np.concatenate([(cut - a)[left], (b - cut)[right], np.ones(len(alone), np.int64)])
+    key = np.concatenate([
+        string_hashes(words, p[left] - HALF, HALF + GRAM), string_hashes(words, p[right], HALF + GRAM),
+        string_hashes(words, alone, LENGTH),
+    ])
+    return low, count, key
+
+
+def _segments(blocks: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """A part's different segments, by block, with their smallest document; and where they lie."""
+
+    def task(table: pa.Table, shared: pa.Table) -> pa.Table:
+        known, crowded = (np.unique(_lists(shared.column(c))) for c in ("hashes", "crowded"))
+        ids: dict[tuple[int, bytes], int] = {}
+        found: list[tuple[np.ndarray, ...]] = []
+        ords = table.column("ord").to_numpy()
+        for document, text in enumerate(v for chunk in table.column("text").chunks for v in texts(chunk)):
             for at, piece in _pieces(text):
-                first, place, hashes = anchors(piece)
-                after = np.append(first[1:], len(piece) - LENGTH + 1)
-                nearest = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
-                for i in np.flatnonzero(known[nearest] == hashes):
-                    a, b, p = int(first[i]), int(after[i]), int(place[i])
-                    # Windows from a to cut hold HALF bytes before the anchor, the rest after it.
-                    cut = min(b, max(a, p - HALF + 1))
-                    for low, high, key in (
-                        (a, cut, piece[p - HALF : p + GRAM]), (cut, b, piece[p : p + GRAM + HALF])
-                    ):
-                        if low < high:
-                            ords.append(ord_)
-                            keys.append(text_key)
-                            starts.append(at + low)
-                            meets.append(xxhash.xxh3_64_intdigest(key) - (1 << 63))
-                            segments.append(piece[low : high + LENGTH - 1])
-        yield pa.RecordBatch.from_arrays(
-            [*(pa.array(c, pa.int64()) for c in (ords, keys, starts, meets)), pa.array(segments, pa.binary())],
-            names=["ord", "text_key", "start", "meet", "segment"],
-        )
+                low, count, key = segments_of(piece, known, crowded)
+                ends = (low + count + LENGTH - 1).tolist()
+                own = [ids.setdefault((k, piece[i:j]), len(ids)) for k, i, j in zip(key.tolist(), low.tolist(), ends)]
+                found.append((np.array(own, np.int64), np.full(len(low), document), at + low, count))
+        segment, document, start, windows = (np.concatenate(v) for v in zip(*found)) if found else (np.zeros(0, np.int64),) * 4
+        owners = np.full(len(ids), 2**63 - 1)
+        np.minimum.at(owners, segment, ords[document])
+        keys = np.array([k for k, _ in ids], dtype=np.int64)
+        order, starts = _groups(mix(keys.view(np.uint64)) % np.uint64(blocks))
+        numbers = (mix(keys.view(np.uint64)) % np.uint64(blocks))[order][starts].astype(np.int32)
+        content = [s for _, s in ids]
+        names = [c.split()[0] for c in SEGMENTS.split(", ")]
+        kinds = [pa.int32(), pa.int32(), *(pa.list_(k) for k in (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64()))]
+        part = table.column("part")[0].as_py()
+        rows = [
+            (part, int(n), _ints(at), owners[at], keys[at], [content[i] for i in at.tolist()], None, None, None, None, None)
+            for n, at in zip(numbers, _of_groups(order, starts) if len(order) else [])
+        ]
+        lying = [_ints(v) for v in (document, start, windows)]
+        rows.append((part, PLACES, _ints(segment), None, None, None, *lying, ords, table.column("text_key").to_numpy()))
+        return pa.table([pa.array(list(c), k) for c, k in zip(zip(*rows), kinds)], names=names)
+
+    return task
 
 
 def suffix_order(symbols: np.ndarray) -> np.ndarray:
@@ -187,60 +303,80 @@ def smallest_owners(segments: list[bytes], owners: np.ndarray) -> list[np.ndarra
 
 def _transform(table: pa.Table) -> pa.Table:
     least = smallest_owners(table.column("segment").to_pylist(), table.column("owner").to_numpy())
-    return pa.table({"id": table.column("id"), "owners": pa.array(least, pa.list_(pa.int64()))})
-
-
-def _span_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = []
-        columns = (batch.column(c).to_pylist() for c in ("ord", "text_key", "start"))
-        for ord_, text_key, start, owners in zip(*columns, batch.column("owners")):
-            taken = np.flatnonzero(owners.values.to_numpy() < ord_)
-            for run in np.split(taken, np.flatnonzero(np.diff(taken) > 1) + 1):
-                if len(run):
-                    rows.append((ord_, text_key, start + int(run[0]), start + int(run[-1]) + LENGTH))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(c), pa.int64()) for c in (zip(*rows) if rows else [[]] * 4)],
-            names=["ord", "text_key", "start", "end"],
-        )
-
-
-def _window_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each window of the segments by a 128-bit key of its bytes."""
-    for batch in batches:
-        ids, owners, places, windows = [], [], [], []
-        columns = (batch.column(c).to_pylist() for c in ("id", "owner"))
-        for id_, owner, segment in zip(*columns, texts(batch.column("segment"))):
-            for at in range(len(segment) - LENGTH + 1):
-                ids.append(id_)
-                owners.append(owner)
-                places.append(at)
-                windows.append(xxhash.xxh3_128_digest(segment[at : at + LENGTH]))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.binary()), pa.array(owners, pa.int64()), pa.array(places, pa.int32()), pa.array(windows, pa.binary())],
-            names=["id", "owner", "place", "window"],
-        )
-
-
-def _owners_by_window(segments: DataFrame) -> DataFrame:
-    """``(id, owners)`` of ``(id, owner, segment)``, by counting windows instead of ordering suffixes.
-
-    Only rows of one segment, which has ``WINDOW`` windows at most, are brought together.
-    """
-    single = stored(segments.mapInArrow(_window_batches, "id binary, owner long, place int, window binary"), "windows")
-    least = single.groupBy("window").agg(F.min("owner").alias("least"))
-    placed = single.select("id", "place", "window").join(least, "window")
-    listed = placed.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("place", "least"))).alias("owners"))
-    return listed.select("id", F.col("owners.least").alias("owners"))
-
-
-def _owners_by_transform(segments: DataFrame, block_bytes: int) -> DataFrame:
-    """``(id, owners)`` of ``(id, owner, meet, segment)``, by transforms of about ``block_bytes``."""
-    total = segments.agg(F.sum(F.octet_length("segment"))).first()[0] or 0
-    block = F.pmod(F.xxhash64("meet"), F.lit(int(total // block_bytes) + 1))
-    return segments.select("id", "owner", "segment", block.alias("block")).groupBy("block").applyInArrow(
-        _transform, "id binary, owners array<long>"
-    )
+    return pa.table({"owners": pa.array(least, pa.list_(pa.int64()))})
+
+
+OWNERS = "part int, ids array<int>, owners array<long>"
+
+
+def _in_block(transform: Callable[[pa.Table], pa.Table], block_bytes: int) -> Callable[[pa.Table], pa.Table]:
+    """For each window of each part's segments, the smallest document of all that have it."""
+
+    def task(table: pa.Table) -> pa.Table:
+        keys, owners = _lists(table.column("keys")), _lists(table.column("owners"))
+        contents = [v.as_py() for v in table.column("segments").combine_chunks().flatten()]
+        distinct: dict[tuple[int, bytes], int] = {}
+        which = np.array([distinct.setdefault(k, len(distinct)) for k in zip(keys.tolist(), contents)], dtype=np.int64)
+        least = np.full(len(distinct), 2**63 - 1)
+        np.minimum.at(least, which, owners)
+        lengths = np.array([len(s) for _, s in distinct])
+        order, starts = _groups(np.array([k for k, _ in distinct], dtype=np.int64))
+        sizes = np.diff(np.append(starts, len(order)))
+        held = [s for _, s in distinct]
+        # Alone at its meeting place, a segment shares nothing.
+        found: list[np.ndarray] = [np.full(n, o) for n, o in zip((lengths - LENGTH + 1).tolist(), least.tolist())]
+
+        def compare(at: np.ndarray) -> None:
+            given = pa.table({"segment": pa.array([held[i] for i in at.tolist()], pa.binary()), "owner": least[at]})
+            for i, owned in zip(at.tolist(), transform(given).column("owners").combine_chunks()):
+                found[i] = owned.values.to_numpy()
+
+        waiting, size = [], 0
+        for at in (g for g, n in zip(_of_groups(order, starts), sizes.tolist()) if n > 1):
+            more = int(lengths[at].sum())
+            if waiting and size + more > block_bytes:
+                compare(np.concatenate(waiting))
+                waiting, size = [], 0
+            waiting.append(at)
+            size += more
+        if waiting:
+            compare(np.concatenate(waiting))
+        ends = np.cumsum(pc.list_value_length(table.column("keys")).to_numpy())
+        answers = [np.concatenate([found[i] for i in w.tolist()]) for w in np.split(which, ends[:-1])]
+        return pa.table([table.column("part"), table.column("ids"), pa.array(answers, pa.list_(pa.int64()))], names=["part", "ids", "owners"])
+
+    return task
+
+
+SPANS = "ord long, text_key long, start long, end long"
+
+
+def _spans(places: pa.Table, answers: pa.Table) -> pa.Table:
+    """A part's runs of windows that a smaller document has too."""
+    segment, document, start, windows = (_lists(places.column(c)).astype(np.int64) for c in ("ids", "documents", "starts", "windows"))
+    ords, text_keys = (_lists(places.column(c)) for c in ("ords", "text_keys"))
+    empty = pa.table([pa.array([], pa.int64())] * 4, names=["ord", "text_key", "start", "end"])
+    if not len(segment):
+        return empty
+    count = np.zeros(int(segment.max()) + 1, dtype=np.int64)
+    count[segment] = windows
+    ids, owners = (_lists(answers.column(c)) for c in ("ids", "owners"))
+    begins = np.zeros(len(count), dtype=np.int64)
+    begins[ids] = np.cumsum(count[ids]) - count[ids]
+    step = np.arange(int(windows.sum())) - np.repeat(np.cumsum(windows) - windows, windows)
+    owner = owners[np.repeat(begins[segment], windows) + step]
+    of = np.repeat(document, windows)
+    taken = owner < ords[of]
+    of, place = of[taken], (np.repeat(start, windows) + step)[taken]
+    if not len(of):
+        return empty
+    order = np.lexsort((place, of))
+    of, place = of[order], place[order]
+    new = np.append(True, (of[1:] != of[:-1]) | (place[1:] > place[:-1] + LENGTH))
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(of)) - 1
+    columns = [ords[of[first]], text_keys[of[first]], place[first], place[last] + LENGTH]
+    return pa.table([pa.array(c, pa.int64()) for c in columns], names=["ord", "text_key", "start", "end"])
 
 
 def _order() -> Column:
@@ -248,35 +384,24 @@ def _order() -> Column:
 
 
 def repeated_spans(docs: DataFrame, block_bytes: int = BLOCK_BYTES, meeting_bytes: int = MEETING_BYTES) -> DataFrame:
-    """``(ord, text_key, start, end)``: byte spans, which may overlap, that a smaller document has too."""
+    """``(ord, text_key, start, end)``: the byte runs of each text that a smaller document has too."""
     plain = docs.select(_order(), F.col("text").cast("binary").alias("text")).where(F.octet_length("text") >= LENGTH)
-    hashes = plain.mapInArrow(_anchor_batches, "ord long, hashes array<long>")
-    single = hashes.select("ord", F.explode("hashes").alias("hash"))
+    single = plain.groupBy("ord", F.xxhash64("text").alias("text_key")).agg(F.first("text").alias("text"))
+    total = plain.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    part = F.pmod(F.xxhash64("ord", "text_key", F.lit(6)), F.lit(int(total // PART_BYTES) + 1)).cast("int")
+    dealt = stored(single.withColumn("part", part), "texts")
+    named = dealt.select("part", "ord", "text").mapInArrow(_anchor_batches(int(total // BUCKET_BYTES) + 1), ANCHORS)
     shared = stored(
-        single.groupBy("hash").agg(F.min("ord").alias("low"), F.max("ord").alias("high"))
-        .where("low < high").select("hash"), "shared-anchors",
-    )
-    own = single.join(shared, "hash").groupBy("ord").agg(F.collect_set("hash").alias("hashes"))
-    found = plain.hint("merge").join(own, "ord").select("ord", F.xxhash64("text").alias("text_key"), "text", "hashes")
-    segments = stored(
-        found.mapInArrow(_segment_batches, SEGMENTS).withColumn("id", F.unhex(F.substring(F.sha2("segment", 256), 1, 32))),
-        "segments",
-    )
-    distinct = segments.groupBy("id").agg(
-        F.min("ord").alias("owner"), F.max("ord").alias("last"), F.first("meet").alias("meet"), F.first("segment").alias("segment")
-    )
-    meeting = segments.groupBy("meet").agg(F.min("ord").alias("low"), F.max("ord").alias("high")).where("low < high").select("meet")
-    distinct = stored(distinct.join(meeting, "meet"), "distinct-segments")
-    sizes = distinct.groupBy("meet").agg(F.sum(F.octet_length("segment")).alias("bytes"))
-    crowded = stored(sizes.where(F.col("bytes") > meeting_bytes).select("meet"), "crowded")
-    owners = _owners_by_transform(distinct.join(crowded, "meet", "left_anti"), block_bytes).unionByName(
-        _owners_by_window(distinct.join(crowded, "meet", "left_semi"))
-    )
-    owners = stored(owners, "segment-owners")
-    placed = segments.select("id", "ord", "text_key", "start").join(owners, "id")
-    return placed.select("ord", "text_key", "start", "owners").mapInArrow(
-        _span_batches, "ord long, text_key long, start long, end long"
+        named.groupBy("bucket").applyInArrow(_shared_anchors(meeting_bytes // LENGTH), SHARED), "shared-anchors"
     )
+    many = shared.agg(F.sum(F.size("hashes"))).first()[0] or 0
+    blocks = int(many * SEGMENT_BYTES // block_bytes) + 1
+    cut = dealt.groupBy("part").cogroup(shared.groupBy("part")).applyInArrow(_segments(blocks), SEGMENTS)
+    segments = stored(cut, "segments")
+    compared = segments.where(F.col("block") != PLACES).select("block", "part", "ids", "owners", "keys", "segments")
+    answers = stored(compared.groupBy("block").applyInArrow(_in_block(_transform, block_bytes), OWNERS), "owners")
+    places = segments.where(F.col("block") == PLACES).select("part", "ids", "documents", "starts", "windows", "ords", "text_keys")
+    return places.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(_spans, SPANS)
 
 
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, text binary"
