@@ -18,10 +18,12 @@ _PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p
 # Letters on whose classes all versions of Unicode agree; texts with others go to the library whole.
 _ODD = re.compile("[^\\x09-\\x0d\\x20-\\x7e¡-ԯ‐-‧‰-‾ぁ-ゖァ-ヺ一-龥가-힣]")
 _NEWLINE = np.uint32(198)
-_KEPT_BYTES = 64 << 20
+_KEPT_BYTES = 192 << 20
 _BATCH = 4096
 # What a kept string takes besides its characters and ids.
 _ENTRY_BYTES = 200
+# A word with punctuation behind it: two pieces, each encoded by itself.
+_ENDED = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-`{-~]+)")
 # Marks of words whose texts can't be encoded word by word, or by pieces either.
 _BY_PIECES, _WHOLE = None, 0
 
@@ -43,12 +45,18 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        model = self.library.model
+        # Strings are handed over once: the library need not remember them too.
+        model._resize_cache(0)
+        self.library.model = model
         self.kept = kept
         self.forget()
 
     def forget(self) -> None:
         # Words with the line feed that precedes them, or without the blank that does.
         self.words: dict[str, bytes | int | None] = {}
+        self.former: dict[str, bytes | int | None] = {}  # those before room was made
+        self.ends: dict[str, bytes] = {}  # punctuation behind words
         self.pieces: dict[str, bytes] = {}
         self.held = 0
 
@@ -82,21 +90,42 @@ class Encoder:
         self.held += sum(len(s) + len(i or b"") + _ENTRY_BYTES for s, i in zip(strings, ids))
 
     def _learn(self, words: set[str]) -> None:
-        """Keep the ids of all these words, or the mark of those that spoil a text for it."""
-        if self.held > self.kept:
-            # Words that repeat are most likely among these: they stay.
-            again = [(w, self.words[w]) for w in words if w in self.words]
+        """Keep the ids of all these words, or the mark of those that spoil a text for it.
+
+        When the memory is half full, what it holds becomes former; of that, what is
+        asked for again before the next time moves back, and the rest is forgotten.
+        """
+        if self.held > self.kept // 2:
+            former = self.words
             self.forget()
-            self._remember(self.words, [w for w, _ in again], [ids for _, ids in again])
-        first, later = [], []
-        for word in words.difference(self.words):
+            self.former = former
+        new = words.difference(self.words)
+        again = [w for w in new if w in self.former]
+        self._remember(self.words, again, [self.former[w] for w in again])
+        alone, ended = [], []
+        for word in new.difference(again) if again else new:
             plain = word[1:] if word[:1] == "\n" else word
             if _ODD.search(plain) or "<|" in plain:
                 self._remember(self.words, [word], [_WHOLE])
+            elif plain.isalpha():
+                alone.append(word)
             elif len(plain.split()) != 1 or plain != plain.strip():
                 self._remember(self.words, [word], [_BY_PIECES])
             else:
-                (later if plain is word else first).append(word)
+                parts = _ENDED.fullmatch(plain)
+                if parts is None or not parts[1].isalpha():
+                    alone.append(word)
+                else:
+                    ended.append((word, word[: -len(parts[2])], parts[2]))
+        self._keep(alone)
+        self._keep(list({head for _, head, _ in ended if head not in self.words}))
+        tails = list({tail for *_, tail in ended if tail not in self.ends})
+        self._remember(self.ends, tails, self._encode_lines(tails))
+        self._remember(self.words, [w for w, *_ in ended], [self.words[h] + self.ends[t] for _, h, t in ended])
+
+    def _keep(self, words: list[str]) -> None:
+        """Keep the ids of words that are free of white space."""
+        first, later = [w for w in words if w[0] == "\n"], [w for w in words if w[0] != "\n"]
         newline = _NEWLINE.tobytes()
         self._remember(self.words, first, [newline + ids for ids in self._encode_lines([w[1:] for w in first])])
         self._remember(self.words, later, self._encode_lines([" " + w for w in later]))
