@@ -87,7 +87,7 @@ class Encoder:
 
     def _remember(self, where: dict, strings: list[str], ids: list) -> None:
         where.update(zip(strings, ids))
-        self.held += sum(len(s) + len(i or b"") + _ENTRY_BYTES for s, i in zip(strings, ids))
+        self.held += _ENTRY_BYTES * len(strings) + sum(map(len, strings)) + sum(map(len, filter(None, ids)))
 
     def _learn(self, words: set[str]) -> None:
         """Keep the ids of all these words, or the mark of those that spoil a text for it.
@@ -105,7 +105,9 @@ class Encoder:
         alone, ended = [], []
         for word in new.difference(again) if again else new:
             plain = word[1:] if word[:1] == "\n" else word
-            if _ODD.search(plain) or "<|" in plain:
+            if plain.isascii() and plain.isalpha():
+                alone.append(word)
+            elif _ODD.search(plain) or "<|" in plain:
                 self._remember(self.words, [word], [_WHOLE])
             elif plain.isalpha():
                 alone.append(word)
