@@ -153,8 +153,9 @@ def test_hot_key_star(spark, batch):
 
 
 def test_a_running_chain_meets_new_events_and_new_lookup_rows(spark, tmp_path):
-    events = ride_events(spark, SF).where("value IS NOT NULL")
     landing, known = f"{tmp_path}/in", f"{tmp_path}/makes"
+    ride_events(spark, SF).coalesce(2).write.parquet(f"{tmp_path}/events")
+    events = spark.read.parquet(f"{tmp_path}/events")
     lookups = default_lookups(spark)
     makes = lookups["map_vehicle_makes"]
     makes.where("vehicle_make_id <= 3").write.parquet(known)
@@ -165,10 +166,9 @@ def test_a_running_chain_meets_new_events_and_new_lookup_rows(spark, tmp_path):
         return {**lookups, "map_vehicle_makes": session.read.schema(makes.schema).parquet(known)}
 
     raw = read_events(spark, "parquet", {"maxFilesPerTrigger": 1}, KAFKA_ROW, landing)
-    chain = start_chain(raw, now, Lake(f"{tmp_path}/lake"), STAR_SPECS[2:3] + [FACT_SPEC], "1 second", max_files=2)
+    chain = start_chain(raw, now, Lake(f"{tmp_path}/lake"), [FACT_SPEC], "1 second", max_files=2)
     try:
-        early = chain.settle()
-        assert early["fact"].count() > 0 and early["dim_vehicle"].where("vehicle_make_id > 3 AND vehicle_make IS NOT NULL").count() == 0
+        assert chain.settle()["fact"].count() > 0
         makes.where("vehicle_make_id > 3").write.mode("append").parquet(known)
         events.where(~first).repartition(2).write.mode("append").parquet(landing)
         late = chain.settle()
