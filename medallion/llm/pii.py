@@ -7,9 +7,9 @@ base. The trees learn from the rules: a proposal that is a base span is right, o
 wrong, and those that touch further digits, where the rules are blind, are not learnt
 from.
 
-All of it is column expressions: a table is scanned once to gather at most ``SAMPLE``
-proposals of either sort for the fit, and once to find the spans, without a shuffle. The
-fitted trees are written out as conditions.
+All of it is column expressions: a table is scanned once to gather all proposals for the
+fit, of which equal ones become one with a weight, and once to find the spans, without a
+shuffle. The fitted trees are written out as conditions.
 """
 
 from __future__ import annotations
@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 
 from medallion.llm.store import stored
 
-SAMPLE = 4000
 TREES = 10
 DEPTH = 3
 PRECISION = 0.95
@@ -220,32 +219,29 @@ def _tree(node) -> tuple:
     return int(split.featureIndex()), float(split.threshold()), _tree(node.leftChild()), _tree(node.rightChild())
 
 
-def train(docs: DataFrame, sample: int = SAMPLE) -> Trees | None:
+def train(docs: DataFrame) -> Trees | None:
     """Trees from the documents' own proposals; None where either sort is missing.
 
-    Half of the sample fits the trees, the other half calibrates the thresholds.
+    Half of all proposals fits the trees, the other half calibrates the thresholds.
     """
     # One pass over the texts; proposals are few numbers each.
     lists = stored(with_proposals(with_base(docs)).select("doc_id", "proposals"), "proposals")
     proposals = lists.select("doc_id", F.explode("proposals").alias("p"))
     rows = proposals.where("NOT p.touching").select(
         F.col("p.features").alias("values"), "p.kind", F.col("p.same").cast("double").alias("label"),
-        F.xxhash64("doc_id", "p.start", "p.kind").alias("order"),
+        F.pmod(F.xxhash64(F.xxhash64("doc_id", "p.start", "p.kind"), F.lit(8)), F.lit(2)).alias("half"),
     )
-    chosen = None
-    for label in (0.0, 1.0):
-        one = rows.where(F.col("label") == label).orderBy("order").limit(sample)
-        chosen = one if chosen is None else chosen.unionByName(one)
-    chosen = stored(chosen.withColumn("half", F.pmod(F.xxhash64("order", F.lit(8)), F.lit(2))), "fitted-proposals")
-    fitting = chosen.where("half = 0").orderBy("order", "kind")
+    # Forms repeat: the fit reads each once, with the number of its proposals.
+    forms = stored(rows.groupBy("half", "kind", "values", "label").agg(F.count(F.lit(1)).cast("double").alias("n")), "forms")
+    fitting = forms.where("half = 0")
     if fitting.select("label").distinct().count() < 2:
         return None
     fitted = GBTClassifier(
-        featuresCol="features", labelCol="label", maxIter=TREES, maxDepth=DEPTH, seed=8, checkpointInterval=-1
-    ).fit(fitting.select(array_to_vector("values").alias("features"), "label").coalesce(1))
+        featuresCol="features", labelCol="label", weightCol="n", maxIter=TREES, maxDepth=DEPTH, seed=8, checkpointInterval=-1
+    ).fit(fitting.select(array_to_vector("values").alias("features"), "label", "n"))
     trees = Trees([_tree(t._java_obj.rootNode()) if hasattr(t, "_java_obj") else _tree(t._call_java("rootNode")) for t in fitted.trees], list(fitted.treeWeights))
-    scored = chosen.where("half = 1").select("kind", "label", F.round(trees.score(F.col("values")), 3).alias("score"))
-    at = scored.groupBy("kind", "score").agg(F.sum("label").alias("right"), F.count("*").alias("all")).collect()
+    scored = forms.where("half = 1").select("kind", "label", "n", F.round(trees.score(F.col("values")), 3).alias("score"))
+    at = scored.groupBy("kind", "score").agg(F.sum(F.col("label") * F.col("n")).alias("right"), F.sum("n").alias("all")).collect()
     for kind in range(len(KINDS)):
         own = sorted(((r["score"], r["right"], r["all"]) for r in at if r["kind"] == kind), reverse=True)
         least, right, every = 2.0, 0.0, 0
