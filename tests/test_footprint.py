@@ -73,7 +73,7 @@ def test_rows_dealt_out_by_the_keys_are_not_dealt_out_again(spark, tmp_path, mon
 
 def test_trees_learn_from_all_proposals(spark, monkeypatch):
     docs = spark.sql(
-        "SELECT id AS doc_id, if(id % 2 = 0, concat('call +1 555 123 ', 1000 + id % 9000), concat('no 555-123-', 1000 + id % 9000)) AS text FROM range(9000)"
+        "SELECT id AS doc_id, if(id % 2 = 0, concat('call +1 555 123 ', 1000 + id % 9000), concat('no 1-555-123-', 1000 + id % 9000)) AS text FROM range(9000)"
     )
     found = {}
     stored = pii.stored
