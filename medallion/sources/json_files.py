@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -144,7 +145,9 @@ def _copy_together(
 ) -> dict[str, int]:
     """Copy files of one schema, given as (name, full names, target), in one scan; rows of those that are whole."""
     files = _Files(spark)
-    sources = spark.createDataFrame([(name, spelt) for name, (_, spelt), _ in names], "name string, source string")
+    # From Arrow, Spark makes a local relation and knows it is small: dealt out by file, a large one would be one task's.
+    listed = {"name": [name for name, *_ in names], "source": [spelt for _, (_, spelt), _ in names]}
+    sources = spark.createDataFrame(pa.table(listed), "name string, source string")
     lines = _lines(spark, [path for _, (path, _), _ in names], sources, schema, multi_line)
     lines.write.mode("overwrite").partitionBy(BAD, FILE).text(staging)
     shape = StructType([StructField("value", StringType()), StructField(BAD, StringType()), StructField(FILE, StringType())])

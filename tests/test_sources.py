@@ -241,3 +241,27 @@ def test_manifest_reports_an_error_without_text(spark, tmp_path, monkeypatch):
     manifest = spark.createDataFrame([("a",)], "file string")
     row = ingest_manifest(spark, manifest, "{file}", "{file}").first()
     assert (row.status, row.error) == ("Failed", "KeyError()")
+
+
+def test_rows_of_a_copied_file_stay_in_many_tasks(spark, tmp_path, monkeypatch):
+    from medallion.sources import json_files
+
+    (tmp_path / "a.json").write_text("".join(f'[{{"k": {n}}}]\n' for n in range(1000)))
+    plans, lines = [], json_files._lines
+
+    def watched(*args):
+        found = lines(*args)
+        plans.append(found._jdf.queryExecution().executedPlan().toString())
+        return found
+
+    monkeypatch.setattr(json_files, "_lines", watched)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "2000")
+    manifest = spark.createDataFrame([("a",)], "file string")
+    try:
+        for schemas in (None, {"a": StructType([StructField("k", LongType())])}):
+            places = (f"{tmp_path}/{{file}}.json", f"{tmp_path}/out/{{file}}.json")
+            report = ingest_manifest(spark, manifest, *places, schemas=schemas, multi_line=False)
+            assert rows(report) == [("a", 1000, "Succeeded", None)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(plans) == 2 and all("hashpartitioning" not in p for p in plans)
