@@ -7,6 +7,7 @@ looked up afterwards, which gives the library's ids at a fraction of its time.
 
 from __future__ import annotations
 
+import operator
 import os
 import re
 
@@ -24,6 +25,7 @@ _BATCH = 4096
 _ENTRY_BYTES = 200
 # A word with punctuation behind it: two pieces, each encoded by itself.
 _ENDED = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-`{-~]+)")
+_PLAIN_ENDED = re.compile(r"(\n?[A-Za-z]+)([!-&(-/:-@\[-`{-~]+)")  # the same, where a look at each letter is not needed
 # Marks of words whose texts can't be encoded word by word, or by pieces either.
 _BY_PIECES, _WHOLE = None, 0
 
@@ -102,8 +104,19 @@ class Encoder:
         new = words.difference(self.words)
         again = [w for w in new if w in self.former]
         self._remember(self.words, again, [self.former[w] for w in again])
-        alone, ended = [], []
+        alone: list[str] = []
+        ended, heads, tails = [], [], []
         for word in new.difference(again) if again else new:
+            if word.isascii():
+                if word.isalpha():
+                    alone.append(word)
+                    continue
+                parts = _PLAIN_ENDED.fullmatch(word)
+                if parts is not None and "<|" not in word:
+                    ended.append(word)
+                    heads.append(parts[1])
+                    tails.append(parts[2])
+                    continue
             plain = word[1:] if word[:1] == "\n" else word
             if plain.isascii() and plain.isalpha():
                 alone.append(word)
@@ -118,12 +131,15 @@ class Encoder:
                 if parts is None or not parts[1].isalpha():
                     alone.append(word)
                 else:
-                    ended.append((word, word[: -len(parts[2])], parts[2]))
+                    ended.append(word)
+                    heads.append(word[: -len(parts[2])])
+                    tails.append(parts[2])
         self._keep(alone)
-        self._keep(list({head for _, head, _ in ended if head not in self.words}))
-        tails = list({tail for *_, tail in ended if tail not in self.ends})
-        self._remember(self.ends, tails, self._encode_lines(tails))
-        self._remember(self.words, [w for w, *_ in ended], [self.words[h] + self.ends[t] for _, h, t in ended])
+        self._keep(list(set(heads).difference(self.words)))
+        new_tails = list(set(tails).difference(self.ends))
+        self._remember(self.ends, new_tails, self._encode_lines(new_tails))
+        both = map(operator.add, map(self.words.__getitem__, heads), map(self.ends.__getitem__, tails))
+        self._remember(self.words, ended, list(both))
 
     def _keep(self, words: list[str]) -> None:
         """Keep the ids of words that are free of white space."""

@@ -114,6 +114,22 @@ def test_remembered_pieces_give_the_library_s_ids(parts):
     assert np.frombuffer(small.encode_many([text, "a b", text])[2], "<u4").tolist() == expected
 
 
+def test_words_of_plain_letters_are_not_searched_for_odd_ones(monkeypatch):
+    encoder, searched, odd = tokens.Encoder(tokens.tokenizer_file()), [], tokens._ODD
+
+    class Watched:
+        def search(self, word):
+            searched.append(word)
+            return odd.search(word)
+
+    monkeypatch.setattr(tokens, "_ODD", Watched())
+    texts = ["plain words, (as here)\nended: so.\nand so!? a_b end_", "naïve x1, a<|b|> c<| it's", "\nplain. <| .", "ended, don't"]
+    for text, ids in zip(texts, encoder.encode_many(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == encoder.library.encode(text, add_special_tokens=False).ids
+    assert {"naïve", "x1,", "a<|b|>", "c<|"} <= set(searched)
+    assert not {"words,", "\nended:", "so.", "\nplain.", "ended,"} & {*searched, *("\n" + w for w in searched)}
+
+
 # 2 toxicity
 
 def test_toxicity_held_out_accuracy(spark):
