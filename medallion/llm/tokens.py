@@ -20,9 +20,9 @@ _PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p
 _ODD = re.compile("[^\\x09-\\x0d\\x20-\\x7e¡-ԯ‐-‧‰-‾ぁ-ゖァ-ヺ一-龥가-힣]")
 _NEWLINE = np.uint32(198)
 _KEPT_BYTES = 192 << 20
-_BATCH = 4096
-# What a kept string takes besides its characters and ids.
-_ENTRY_BYTES = 200
+_BATCH = 256  # strings handed over at once; more of them leave the processor's caches
+# What a kept string takes besides its characters and ids, its place in the table included.
+_ENTRY_BYTES = 140
 # A word with punctuation behind it: two pieces, each encoded by itself.
 _ENDED = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-`{-~]+)")
 _PLAIN_ENDED = re.compile(r"(\n?[A-Za-z]+)([!-&(-/:-@\[-`{-~]+)")  # the same, where a look at each letter is not needed
@@ -45,12 +45,18 @@ class Encoder:
     def __init__(self, path: str, kept: int = _KEPT_BYTES) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel, Sequence, Split
 
         self.library = Tokenizer.from_file(path)
         model = self.library.model
         # Strings are handed over once: the library need not remember them too.
         model._resize_cache(0)
         self.library.model = model
+        # For lines that are one piece each: the same, without the search for where pieces end.
+        self.uncut = Tokenizer(model)
+        self.uncut.pre_tokenizer = Sequence(
+            [Split("\n", "isolated"), ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
         self.kept = kept
         self.forget()
 
@@ -104,7 +110,7 @@ class Encoder:
         new = words.difference(self.words)
         again = [w for w in new if w in self.former]
         self._remember(self.words, again, [self.former[w] for w in again])
-        alone: list[str] = []
+        alone, mixed = [], []  # of letters only, which are one piece, and others
         ended, heads, tails = [], [], []
         for word in new.difference(again) if again else new:
             if word.isascii():
@@ -129,31 +135,32 @@ class Encoder:
             else:
                 parts = _ENDED.fullmatch(plain)
                 if parts is None or not parts[1].isalpha():
-                    alone.append(word)
+                    mixed.append(word)
                 else:
                     ended.append(word)
                     heads.append(word[: -len(parts[2])])
                     tails.append(parts[2])
-        self._keep(alone)
-        self._keep(list(set(heads).difference(self.words)))
+        self._keep(mixed, self.library)
+        self._keep(alone, self.uncut)
+        self._keep(list(set(heads).difference(self.words)), self.uncut)
         new_tails = list(set(tails).difference(self.ends))
-        self._remember(self.ends, new_tails, self._encode_lines(new_tails))
+        self._remember(self.ends, new_tails, self._encode_lines(new_tails, self.library))
         both = map(operator.add, map(self.words.__getitem__, heads), map(self.ends.__getitem__, tails))
         self._remember(self.words, ended, list(both))
 
-    def _keep(self, words: list[str]) -> None:
+    def _keep(self, words: list[str], library) -> None:
         """Keep the ids of words that are free of white space."""
         first, later = [w for w in words if w[0] == "\n"], [w for w in words if w[0] != "\n"]
         newline = _NEWLINE.tobytes()
-        self._remember(self.words, first, [newline + ids for ids in self._encode_lines([w[1:] for w in first])])
-        self._remember(self.words, later, self._encode_lines([" " + w for w in later]))
+        self._remember(self.words, first, [newline + ids for ids in self._encode_lines([w[1:] for w in first], library)])
+        self._remember(self.words, later, self._encode_lines([" " + w for w in later], library))
 
-    def _encode_lines(self, strings: list[str]) -> list[bytes]:
+    def _encode_lines(self, strings: list[str], library) -> list[bytes]:
         """The ids of each string. Line feeds are pieces of their own, so they mark where each ends."""
         found: list[bytes] = []
         for at in range(0, len(strings), _BATCH):
             some = strings[at : at + _BATCH]
-            encoded = self.library.encode_batch_fast(["\n".join(some)], add_special_tokens=False)
+            encoded = library.encode_batch_fast(["\n".join(some)], add_special_tokens=False)
             ids = np.array(encoded[0].ids, dtype="<u4")
             cuts = np.flatnonzero(ids == _NEWLINE)
             starts, ends = np.append(0, cuts + 1).tolist(), np.append(cuts, len(ids)).tolist()
@@ -167,7 +174,7 @@ class Encoder:
         blank = [p for p in new if p.isspace()]
         plain = [p for p in new if not p.isspace()]
         self._remember(self.pieces, blank, [self._whole(p) for p in blank])
-        self._remember(self.pieces, plain, self._encode_lines(plain))
+        self._remember(self.pieces, plain, self._encode_lines(plain, self.library))
         return b"".join(map(self.pieces.__getitem__, pieces))
 
     def decode(self, ids: np.ndarray) -> str:

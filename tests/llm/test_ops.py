@@ -8,6 +8,7 @@ import hashlib
 import itertools
 import os
 import re
+import sys
 import tempfile
 import zlib
 
@@ -130,6 +131,35 @@ def test_words_of_plain_letters_are_not_searched_for_odd_ones(monkeypatch):
     assert not {"words,", "\nended:", "so.", "\nplain.", "ended,"} & {*searched, *("\n" + w for w in searched)}
 
 
+def test_words_of_one_piece_are_not_cut_again():
+    encoder, cut = tokens.Encoder(tokens.tokenizer_file()), []
+    library = encoder.library
+
+    class Watched:
+        def __getattr__(self, name):
+            return getattr(library, name)
+
+        def encode_batch_fast(self, lines, **kwargs):
+            cut.extend(lines)
+            return library.encode_batch_fast(lines, **kwargs)
+
+    encoder.library = Watched()
+    texts = ["Plain words\nnaïve, 中文 über: unusualwordsofletters", "plain\nplain x1 it's (a) b2b", " ".join(f"w{chr(97 + k % 26)}" * (k % 9 + 1) for k in range(999))]
+    for text, ids in zip(texts, encoder.encode_many(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    seen = set("\n".join(cut).replace("\n", " ").split())
+    assert {"x1", "it's", "(a)", "b2b"} <= seen
+    assert not {"Plain", "words", "naïve", "中文", "über", "unusualwordsofletters", "plain", "wa"} & seen
+
+
+def test_what_is_kept_is_counted_by_what_it_takes():
+    encoder = tokens.Encoder(tokens.tokenizer_file())
+    encoder.encode(" ".join(a + b + c + d for a, b, c, d in itertools.product("thrnsaeiou", repeat=4)))
+    up = [(sys.getsizeof(v) + 15) // 16 * 16 for pair in encoder.words.items() for v in pair]
+    takes = sum(up) + sys.getsizeof(encoder.words)
+    assert len(encoder.words) > 9_000 and takes <= encoder.held <= 1.4 * takes
+
+
 # 2 toxicity
 
 def test_toxicity_held_out_accuracy(spark):
