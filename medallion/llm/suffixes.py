@@ -10,39 +10,42 @@ One transform of the whole corpus would be one task, so equal strings are brough
 together first. Every window of ``LENGTH`` bytes chooses an anchor inside it, the ``GRAM``
 bytes of least hash, which depends on nothing outside the window. Anchors found in one
 document only can't lie in a common string. Around the others, the windows that choose
-an anchor form segments, and segments that may share a window meet, by the bytes around
-their anchor, in one of many transforms of bounded size. Around an anchor that very many
+an anchor form a segment, and segments that may share a window meet, by their anchor, in
+one of many transforms of bounded size. Around an anchor that very many
 documents have, segments are cut into single windows, which meet by all their bytes.
 
 Texts are dealt into parts. A part names each anchor and each segment once, whatever the
 number of its documents that have it, in lists by the bucket or block they go to; so
 the rows that travel are few and long, and a string that all documents share arrives
-once from each part.
+once from each part. Texts are cut and segments compared in rounds, each stored before
+the next, and working tables go when nothing reads them any more.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from medallion.llm.store import stored, texts
+from medallion.llm.store import discard, stored, texts
 from medallion.llm.words import mix
 
 LENGTH = 50
 GRAM = 24
 WINDOW = LENGTH - GRAM + 1
-HALF = WINDOW // 2
 PART_BYTES = 8 << 20
 BUCKET_BYTES = 16 << 20  # of text, whose anchors fill a bucket
 BLOCK_BYTES = 1 << 20
 MEETING_BYTES = BLOCK_BYTES >> 5  # of windows that may meet around one anchor
-SEGMENT_BYTES = 2 * (LENGTH + WINDOW // 4)  # of an anchor's two segments, about
+SEGMENT_BYTES = 2 * (LENGTH + WINDOW // 2)  # of the segments around a part's anchor, about
+ROUNDS = 4  # in which texts are cut and segments compared; only one round's are shuffled at a time
 _PIECE = 1 << 19
 _PLACE = np.uint64((1 << 20) - 1)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -56,8 +59,11 @@ def _pieces(text: bytes) -> Iterator[tuple[int, bytes]]:
 
 def packed(piece: bytes) -> np.ndarray:
     """The eight bytes from each place on as one number."""
-    data = np.frombuffer(piece + bytes(7), np.uint8)
-    return np.lib.stride_tricks.sliding_window_view(data, 8).copy().view("<u8").reshape(-1)
+    data, words = piece + bytes(15), np.empty(len(piece), np.uint64)
+    for at in range(8):
+        every = words[at::8]
+        every[:] = np.frombuffer(data, "<u8", len(every), at)
+    return words
 
 
 def string_hashes(words: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
@@ -73,8 +79,11 @@ def anchors(words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     runs = len(words) - GRAM + 1
     hashes = np.zeros(runs, dtype=np.uint64)
     for at in range(0, GRAM, 8):
-        hashes = mix(hashes * _ODD + words[at : at + runs])
-    least = (hashes & ~_PLACE) | np.arange(len(hashes), dtype=np.uint64)
+        hashes *= _ODD
+        hashes += words[at : at + runs]
+        hashes = mix(hashes)
+    least = hashes & ~_PLACE
+    least |= np.arange(len(hashes), dtype=np.uint64)
     span = 1
     while span < WINDOW:
         step = min(span, WINDOW - span)
@@ -163,7 +172,7 @@ def _shared_anchors(crowd: int) -> Callable[[pa.Table], pa.Table]:
 
 
 SEGMENTS = (
-    "part int, block int, ids array<int>, owners array<long>, keys array<long>, segments array<binary>, "
+    "part int, block int, segments binary, ids array<int>, "
     "documents array<int>, starts array<int>, windows array<int>, ords array<long>, text_keys array<long>"
 )
 PLACES = -1  # the block of the row that says where a part's segments lie
@@ -178,26 +187,36 @@ def _is_in(values: np.ndarray, known: np.ndarray) -> np.ndarray:
 def segments_of(piece: bytes, known: np.ndarray, crowded: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(first, count, key)``: runs of windows around shared anchors, and where their equals meet.
 
-    A window holds, besides its anchor, at least ``HALF`` bytes on one side; with these
-    the place where its equals meet is far rarer than the anchor alone.
+    A run is one segment, so its bytes are named once for all of its windows. It meets
+    others by its anchor, which no more documents have than may meet; windows around a
+    crowded anchor meet one by one, by all their bytes.
     """
     words = packed(piece)
-    first, place, hashes = anchors(words)
+    first, _, hashes = anchors(words)
     after = np.append(first[1:], len(piece) - LENGTH + 1)
     wide, single = _is_in(hashes, known), _is_in(hashes, crowded)
-    a, b, p = (v[wide & ~single] for v in (first, after, place))
-    # Windows from a to cut hold HALF bytes before the anchor, the rest after it.
-    cut = np.minimum(b, np.maximum(a, p - HALF + 1))
-    left, right = a < cut, cut < b
+    whole = wide & ~single
     sizes = (after - first)[single]
     alone = np.repeat(first[single] - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))
-    low = np.concatenate([a[left], cut[right], alone])
-    count = np.concatenate([(cut - a)[left], (b - cut)[right], np.ones(len(alone), np.int64)])
-    key = np.concatenate([
-        string_hashes(words, p[left] - HALF, HALF + GRAM), string_hashes(words, p[right], HALF + GRAM),
-        string_hashes(words, alone, LENGTH),
-    ])
-    return low, count, key
+    low = np.concatenate([first[whole], alone])
+    count = np.concatenate([(after - first)[whole], np.ones(len(alone), np.int64)])
+    return low, count, np.concatenate([hashes[whole], string_hashes(words, alone, LENGTH)])
+
+
+def pack_segments(ids: np.ndarray, owners: np.ndarray, keys: np.ndarray, content: list[bytes]) -> bytes:
+    """Segments in one zstandard frame: how many, their keys, owners, numbers and lengths, and their bytes."""
+    lengths = np.fromiter(map(len, content), np.int32, len(content))
+    columns = (np.array([len(content)]), keys, owners, _ints(ids), lengths)
+    return zstandard.compress(b"".join([*(c.tobytes() for c in columns), *content]), 1)
+
+
+def unpack_segments(frame: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+    data = zstandard.decompress(frame)
+    n = int(np.frombuffer(data, np.int64, 1)[0])
+    keys, owners = (np.frombuffer(data, np.int64, n, at) for at in (8, 8 + 8 * n))
+    ids, lengths = (np.frombuffer(data, np.int32, n, at) for at in (8 + 16 * n, 8 + 20 * n))
+    ends = (8 + 24 * n + np.cumsum(lengths, dtype=np.int64)).tolist()
+    return ids, owners, keys, [data[i:j] for i, j in zip([8 + 24 * n, *ends], ends)]
 
 
 def _segments(blocks: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
@@ -205,31 +224,32 @@ def _segments(blocks: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
 
     def task(table: pa.Table, shared: pa.Table) -> pa.Table:
         known, crowded = (np.unique(_lists(shared.column(c))) for c in ("hashes", "crowded"))
-        ids: dict[tuple[int, bytes], int] = {}
+        ids: dict[bytes, int] = {}  # equal segments have one key
         found: list[tuple[np.ndarray, ...]] = []
         ords = table.column("ord").to_numpy()
         for document, text in enumerate(v for chunk in table.column("text").chunks for v in texts(chunk)):
             for at, piece in _pieces(text):
                 low, count, key = segments_of(piece, known, crowded)
                 ends = (low + count + LENGTH - 1).tolist()
-                own = [ids.setdefault((k, piece[i:j]), len(ids)) for k, i, j in zip(key.tolist(), low.tolist(), ends)]
-                found.append((np.array(own, np.int64), np.full(len(low), document), at + low, count))
-        segment, document, start, windows = (np.concatenate(v) for v in zip(*found)) if found else (np.zeros(0, np.int64),) * 4
+                own = [ids.setdefault(piece[i:j], len(ids)) for i, j in zip(low.tolist(), ends)]
+                found.append((np.array(own, np.int64), np.full(len(low), document), at + low, count, key))
+        segment, document, start, windows, key = (np.concatenate(v) for v in zip(*found)) if found else (np.zeros(0, np.int64),) * 5
         owners = np.full(len(ids), 2**63 - 1)
         np.minimum.at(owners, segment, ords[document])
-        keys = np.array([k for k, _ in ids], dtype=np.int64)
+        keys = np.zeros(len(ids), np.int64)
+        keys[segment] = key
         order, starts = _groups(mix(keys.view(np.uint64)) % np.uint64(blocks))
         numbers = (mix(keys.view(np.uint64)) % np.uint64(blocks))[order][starts].astype(np.int32)
-        content = [s for _, s in ids]
+        content = list(ids)
         names = [c.split()[0] for c in SEGMENTS.split(", ")]
-        kinds = [pa.int32(), pa.int32(), *(pa.list_(k) for k in (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64()))]
+        kinds = [pa.int32(), pa.int32(), pa.binary(), *(pa.list_(k) for k in (pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64()))]
         part = table.column("part")[0].as_py()
         rows = [
-            (part, int(n), _ints(at), owners[at], keys[at], [content[i] for i in at.tolist()], None, None, None, None, None)
+            (part, int(n), pack_segments(at, owners[at], keys[at], [content[i] for i in at.tolist()]), *(None,) * 6)
             for n, at in zip(numbers, _of_groups(order, starts) if len(order) else [])
         ]
         lying = [_ints(v) for v in (document, start, windows)]
-        rows.append((part, PLACES, _ints(segment), None, None, None, *lying, ords, table.column("text_key").to_numpy()))
+        rows.append((part, PLACES, None, _ints(segment), *lying, ords, table.column("text_key").to_numpy()))
         return pa.table([pa.array(list(c), k) for c, k in zip(zip(*rows), kinds)], names=names)
 
     return task
@@ -237,16 +257,20 @@ def _segments(blocks: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
 
 def suffix_order(symbols: np.ndarray) -> np.ndarray:
     """Rotations in order of at least their first ``LENGTH + 1`` symbols, by doubling."""
-    rank, span = symbols.astype(np.int64), 1
-    order = np.argsort(rank, kind="stable")
-    while span <= LENGTH:
-        key = rank * (int(rank.max()) + 1) + np.roll(rank, -span)
-        order = np.argsort(key, kind="stable")
+    # Nine bits hold a symbol, so the first ranks are of as many as fit a number.
+    key, span = symbols.astype(np.int64), 1
+    while span < 7:
+        key = (key << 9) | np.roll(symbols, -span)
+        span += 1
+    while True:
+        order = np.argsort(key)
+        if span > LENGTH:
+            return order
         ranked = key[order]
-        rank = np.empty_like(rank)
+        rank = np.empty_like(key)
         rank[order] = np.cumsum(np.append(0, ranked[1:] != ranked[:-1]))
+        key = rank * (int(rank.max()) + 1) + np.roll(rank, -span)
         span *= 2
-    return order
 
 
 def boundaries(symbols: np.ndarray, order: np.ndarray) -> np.ndarray:
@@ -268,7 +292,7 @@ def boundaries(symbols: np.ndarray, order: np.ndarray) -> np.ndarray:
         owner = np.repeat(np.arange(len(low)), sizes)
         rows = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(low, sizes)
         target = to[rows]
-        by = np.argsort(target, kind="stable")
+        by = np.argsort(target)  # no two are equal
         target, owner = target[by], owner[by]
         new = np.ones(len(target), dtype=bool)
         new[1:] = (target[1:] != target[:-1] + 1) | (owner[1:] != owner[:-1]) | (head[target[1:]] != head[target[:-1]])
@@ -313,16 +337,21 @@ def _in_block(transform: Callable[[pa.Table], pa.Table], block_bytes: int) -> Ca
     """For each window of each part's segments, the smallest document of all that have it."""
 
     def task(table: pa.Table) -> pa.Table:
-        keys, owners = _lists(table.column("keys")), _lists(table.column("owners"))
-        contents = [v.as_py() for v in table.column("segments").combine_chunks().flatten()]
-        distinct: dict[tuple[int, bytes], int] = {}
-        which = np.array([distinct.setdefault(k, len(distinct)) for k in zip(keys.tolist(), contents)], dtype=np.int64)
-        least = np.full(len(distinct), 2**63 - 1)
-        np.minimum.at(least, which, owners)
-        lengths = np.array([len(s) for _, s in distinct])
-        order, starts = _groups(np.array([k for k, _ in distinct], dtype=np.int64))
+        distinct: dict[bytes, int] = {}
+        ids, known_to, met_at, of = [], [], [], []  # by part
+        for frame in (f for chunk in table.column("segments").chunks for f in texts(chunk)):
+            own, owners, keys, contents = unpack_segments(frame)
+            ids.append(own)
+            known_to.append(owners)
+            met_at.append(keys)
+            of.append(np.array([distinct.setdefault(s, len(distinct)) for s in contents], dtype=np.int64))
+        least, key = np.full(len(distinct), 2**63 - 1), np.zeros(len(distinct), np.int64)
+        np.minimum.at(least, np.concatenate(of), np.concatenate(known_to))
+        key[np.concatenate(of)] = np.concatenate(met_at)
+        lengths = np.array([len(s) for s in distinct])
+        order, starts = _groups(key)
         sizes = np.diff(np.append(starts, len(order)))
-        held = [s for _, s in distinct]
+        held = list(distinct)
         # Alone at its meeting place, a segment shares nothing.
         found: list[np.ndarray] = [np.full(n, o) for n, o in zip((lengths - LENGTH + 1).tolist(), least.tolist())]
 
@@ -341,9 +370,9 @@ def _in_block(transform: Callable[[pa.Table], pa.Table], block_bytes: int) -> Ca
             size += more
         if waiting:
             compare(np.concatenate(waiting))
-        ends = np.cumsum(pc.list_value_length(table.column("keys")).to_numpy())
-        answers = [np.concatenate([found[i] for i in w.tolist()]) for w in np.split(which, ends[:-1])]
-        return pa.table([table.column("part"), table.column("ids"), pa.array(answers, pa.list_(pa.int64()))], names=["part", "ids", "owners"])
+        answers = [np.concatenate([found[i] for i in which.tolist()]) for which in of]
+        lists = [pa.array(ids, pa.list_(pa.int32())), pa.array(answers, pa.list_(pa.int64()))]
+        return pa.table([table.column("part"), *lists], names=["part", "ids", "owners"])
 
     return task
 
@@ -383,6 +412,10 @@ def _order() -> Column:
     return F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)).alias("ord")
 
 
+def _union(frames: Iterable[DataFrame]) -> DataFrame:
+    return functools.reduce(DataFrame.union, frames)
+
+
 def repeated_spans(docs: DataFrame, block_bytes: int = BLOCK_BYTES, meeting_bytes: int = MEETING_BYTES) -> DataFrame:
     """``(ord, text_key, start, end)``: the byte runs of each text that a smaller document has too."""
     plain = docs.select(_order(), F.col("text").cast("binary").alias("text")).where(F.octet_length("text") >= LENGTH)
@@ -396,12 +429,26 @@ def repeated_spans(docs: DataFrame, block_bytes: int = BLOCK_BYTES, meeting_byte
     )
     many = shared.agg(F.sum(F.size("hashes"))).first()[0] or 0
     blocks = int(many * SEGMENT_BYTES // block_bytes) + 1
-    cut = dealt.groupBy("part").cogroup(shared.groupBy("part")).applyInArrow(_segments(blocks), SEGMENTS)
-    segments = stored(cut, "segments")
-    compared = segments.where(F.col("block") != PLACES).select("block", "part", "ids", "owners", "keys", "segments")
-    answers = stored(compared.groupBy("block").applyInArrow(_in_block(_transform, block_bytes), OWNERS), "owners")
+    rounds = min(ROUNDS, int(total // PART_BYTES) + 1)
+
+    def in_round(df: DataFrame, number: str, k: int) -> DataFrame:
+        return df.where(F.pmod(number, F.lit(rounds)) == k).groupBy(number)
+
+    def cut(k: int) -> DataFrame:
+        return in_round(dealt, "part", k).cogroup(in_round(shared, "part", k)).applyInArrow(_segments(blocks), SEGMENTS)
+
+    segments = _union(stored(cut(k), "segments") for k in range(rounds))
+    discard(dealt, shared)
+    compared = segments.where(F.col("block") != PLACES).select("block", "part", "segments")
+
+    def compare(k: int) -> DataFrame:
+        return in_round(compared, "block", k).applyInArrow(_in_block(_transform, block_bytes), OWNERS)
+
+    answers = _union(stored(compare(k), "owners") for k in range(rounds))
     places = segments.where(F.col("block") == PLACES).select("part", "ids", "documents", "starts", "windows", "ords", "text_keys")
-    return places.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(_spans, SPANS)
+    spans = stored(places.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(_spans, SPANS), "spans")
+    discard(segments, answers)
+    return spans
 
 
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, text binary"

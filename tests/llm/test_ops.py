@@ -418,6 +418,22 @@ def test_a_common_line_with_different_tails_fills_no_block(spark, monkeypatch):
     assert max(sizes) <= 40_000
 
 
+def test_segments_name_their_bytes_once_and_travel_pressed():
+    rng = np.random.default_rng(8)
+    words = ["".join(rng.choice(list("abcdefgh"), 6)) for _ in range(300)]
+    piece = " ".join(rng.choice(words, 3000)).encode()
+    known = np.unique(suffixes.anchors(suffixes.packed(piece))[2])
+    low, count, key = suffixes.segments_of(piece, known, known[:0])
+    windows = np.concatenate([np.arange(a, a + n) for a, n in zip(low, count)])
+    assert sorted(windows.tolist()) == list(range(len(piece) - suffixes.LENGTH + 1))
+    assert (count + suffixes.LENGTH - 1).sum() <= 5 * count.sum()
+    content = [piece[a : a + n + suffixes.LENGTH - 1] for a, n in zip(low.tolist(), count.tolist())]
+    frame = suffixes.pack_segments(np.arange(len(low)), low, key, content)
+    ids, owners, keys, again = suffixes.unpack_segments(frame)
+    assert (ids.tolist(), owners.tolist(), keys.tolist(), again) == (list(range(len(low))), low.tolist(), key.tolist(), content)
+    assert len(frame) < sum(map(len, content)) * 3 // 4
+
+
 def test_suffix_edge_cases(spark):
     rows = odd_docs(spark)
     assert suffixes.without_repeats(rows).where("n_removed > 0").count() == 0
