@@ -13,6 +13,8 @@ import tempfile
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
@@ -434,6 +436,39 @@ def test_segments_name_their_bytes_once_and_travel_pressed():
     assert len(frame) < sum(map(len, content)) * 3 // 4
 
 
+def test_joined_texts_have_the_anchors_of_each_alone():
+    rng = np.random.default_rng(9)
+    values = [bytes(rng.choice(list(b"abcdef "), int(n)).tolist()) for n in [50, 51, 400, 90, 3000, 49, 70]]
+    for i, (piece, ends, number, at) in enumerate(suffixes._joined(enumerate(values))):
+        first, place, hashes = suffixes.anchors(suffixes.packed(piece), ends)
+        inside = place >= 0
+        row = np.searchsorted(ends, first, "right")
+        begins = np.append(0, ends[:-1])
+        assert i == 0 and number.tolist() == [0, 1, 2, 3, 4, 6] and not at.any()
+        for k, n in enumerate(number.tolist()):
+            own = suffixes.anchors(suffixes.packed(values[n]))
+            of = inside & (row == k)
+            assert (first[of] - begins[k]).tolist() == own[0].tolist()
+            assert (place[of] - begins[k]).tolist() == own[1].tolist() and hashes[of].tolist() == own[2].tolist()
+
+
+def test_windows_around_crowded_anchors_lie_by_run():
+    rng = np.random.default_rng(10)
+    line = bytes(rng.choice(list(b"abcdef "), 3000).tolist())
+    n = 40
+    table = pa.table({"part": pa.array([0] * n, pa.int32()), "ord": pa.array(range(n), pa.int64()), "text": [line] * n, "text_key": pa.array(range(n), pa.int64())})
+    known = np.unique(suffixes.anchors(suffixes.packed(line))[2])
+    shared = pa.table({"hashes": pa.array([known], pa.list_(pa.int64())), "crowded": pa.array([known], pa.list_(pa.int64()))})
+    found = suffixes._segments(3)(table, shared)
+    places = found.filter(pc.equal(found.column("block"), suffixes.PLACES))
+    windows = n * (len(line) - suffixes.LENGTH + 1)
+    assert sum(pc.list_value_length(places.column(c))[0].as_py() for c in ("ids", "documents", "starts", "cells")) < windows // 4
+    frames = found.filter(pc.greater_equal(found.column("block"), 0))
+    answers = suffixes._in_block(suffixes._transform, suffixes.BLOCK_BYTES)(frames)
+    spans = suffixes._spans(places, answers).to_pylist()
+    assert spans == [{"ord": i, "text_key": i, "start": 0, "end": len(line)} for i in range(1, n)]
+
+
 def test_suffix_edge_cases(spark):
     rows = odd_docs(spark)
     assert suffixes.without_repeats(rows).where("n_removed > 0").count() == 0
