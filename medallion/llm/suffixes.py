@@ -157,6 +157,22 @@ ANCHORS = "bucket int, part int, hashes array<long>, lows array<long>, highs arr
 def _anchor_batches(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Each part's anchors, by bucket: the least and largest document that has them, and how many."""
 
+    def named(part: int, pieces: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        hashes, ords = (np.concatenate(v) for v in zip(*pieces))
+        order, starts = _groups(hashes)
+        low, high = np.minimum.reduceat(ords[order], starts), np.maximum.reduceat(ords[order], starts)
+        count = np.diff(np.append(starts, len(order))).astype(np.int32)
+        hashes = hashes[order][starts]
+        bucket = hashes.view(np.uint64) % np.uint64(buckets)
+        by, cuts = _groups(bucket)
+        numbers = bucket[by][cuts].astype(np.int32)
+        lists = [
+            pa.array(_of_groups(v[by], cuts), pa.list_(kind))
+            for v, kind in ((hashes, pa.int64()), (low, pa.int64()), (high, pa.int64()), (count, pa.int32()))
+        ]
+        columns = [pa.array(numbers), pa.array(np.full(len(numbers), part, np.int32)), *lists]
+        return pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in ANCHORS.split(", ")])
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
         for batch in batches:
@@ -172,21 +188,11 @@ def _anchor_batches(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterat
                     order, once = _groups(hashes.view(np.uint64) + mix(row.astype(np.uint64)))
                     at = order[once]
                     found.setdefault(part, []).append((hashes[at], ords[row[at]]))
+            # A part's rows lie together, so those before the last are done.
+            for part in [p for p in found if p not in parts[-1:]]:
+                yield named(part, found.pop(part))
         for part, pieces in found.items():
-            hashes, ords = (np.concatenate(v) for v in zip(*pieces))
-            order, starts = _groups(hashes)
-            low, high = np.minimum.reduceat(ords[order], starts), np.maximum.reduceat(ords[order], starts)
-            count = np.diff(np.append(starts, len(order))).astype(np.int32)
-            hashes = hashes[order][starts]
-            bucket = hashes.view(np.uint64) % np.uint64(buckets)
-            by, cuts = _groups(bucket)
-            numbers = bucket[by][cuts].astype(np.int32)
-            lists = [
-                pa.array(_of_groups(v[by], cuts), pa.list_(kind))
-                for v, kind in ((hashes, pa.int64()), (low, pa.int64()), (high, pa.int64()), (count, pa.int32()))
-            ]
-            columns = [pa.array(numbers), pa.array(np.full(len(numbers), part, np.int32)), *lists]
-            yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in ANCHORS.split(", ")])
+            yield named(part, pieces)
 
     return task
 
@@ -510,10 +516,11 @@ def repeated_spans(docs: DataFrame, block_bytes: int = BLOCK_BYTES, meeting_byte
     """``(ord, text_key, start, end)``: the byte runs of each text that a smaller document has too."""
     plain = docs.select(_order(), F.col("text").cast("binary").alias("text")).where(F.octet_length("text") >= LENGTH)
     total = plain.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    part = F.pmod(F.xxhash64("ord", "text_key", F.lit(6)), F.lit(int(total // PART_BYTES) + 1)).cast("int")
+    parts = int(total // PART_BYTES) + 1
+    part = F.pmod(F.xxhash64("ord", "text_key", F.lit(6)), F.lit(parts)).cast("int")
     keyed = plain.withColumn("text_key", F.xxhash64("text")).withColumn("part", part)
-    # A part is stored in one place, so that a task sees all of it and names an anchor once.
-    single = keyed.repartition("part").groupBy("part", "ord", "text_key").agg(F.first("text").alias("text"))
+    # A part is one task's and stored in one place, so that it names an anchor once.
+    single = keyed.repartitionById(parts, "part").groupBy("part", "ord", "text_key").agg(F.first("text").alias("text"))
     dealt = stored(single, "texts")
     named = dealt.select("part", "ord", "text").mapInArrow(_anchor_batches(int(total // BUCKET_BYTES) + 1), ANCHORS)
     shared = stored(
@@ -521,7 +528,7 @@ def repeated_spans(docs: DataFrame, block_bytes: int = BLOCK_BYTES, meeting_byte
     )
     many = shared.agg(F.sum(F.size("hashes"))).first()[0] or 0
     blocks = int(many * SEGMENT_BYTES // block_bytes) + 1
-    rounds = min(ROUNDS, int(total // PART_BYTES) + 1)
+    rounds = min(ROUNDS, parts)
 
     def in_round(df: DataFrame, number: str, k: int) -> DataFrame:
         return df.where(F.pmod(number, F.lit(rounds)) == k).groupBy(number)
