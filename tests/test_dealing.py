@@ -31,18 +31,27 @@ def _left(path) -> list[str]:
     return [f.name for f in Path(path).rglob("*.parquet")]
 
 
-def test_a_fine_target_is_refreshed_without_a_shuffle(spark, tmp_path, monkeypatch):
-    log, path, seen, save = f"{tmp_path}/log", f"{tmp_path}/target", [], targets._save
+def _log(spark, log, batch, df):
+    changelog._begin(spark, log, df.schema)
+    df.write.parquet(changelog._batch_path(log, "g", batch))
+    changelog.commit(spark, log, "g", batch)
+
+
+def test_a_fine_target_is_refreshed_and_compacted_without_a_shuffle(spark, tmp_path, monkeypatch):
+    log, path, seen = f"{tmp_path}/log", f"{tmp_path}/target", []
+    save, reduce = targets._save, changelog.reduce_changes
     monkeypatch.setattr(targets, "_save", lambda df, *a: (seen.append(_plan(df)), save(df, *a))[1])
+    monkeypatch.setattr(changelog, "reduce_changes", lambda df, spec: (seen.append(_plan(reduce(df, spec))), reduce(df, spec))[1])
     source = _source(spark).select(*SPEC.source_columns)
-    changelog._begin(spark, log, source.schema)
-    for batch in (0, 1):
-        source.where(f"v % 2 = {batch}").write.parquet(changelog._batch_path(log, "g", batch))
-        changelog.commit(spark, log, "g", batch)
-        targets.refresh_target(spark, log, SPEC, path, 4)
-    assert len(seen) == 2 and not any("Exchange" in plan for plan in seen)
-    assert rows(targets.read_target(spark, log, SPEC, path)) == rows(build_target(source, SPEC))
-    assert not _left(f"{path}/_dealt")
+    _log(spark, log, 0, source.where("v % 2 = 0"))
+    assert targets.refresh_target(spark, log, SPEC, path, 4) == 4
+    changelog.compact(spark, log, SPEC)
+    _log(spark, log, 1, source.where("v % 2 = 1"))
+    targets.refresh_target(spark, log, SPEC, path, 4)
+    assert len(seen) == 3 and not any("Exchange" in plan for plan in seen)
+    expected = rows(build_target(source, SPEC))
+    assert rows(targets.read_target(spark, log, SPEC, path)) == expected == rows(changelog.target_view(spark, log, SPEC))
+    assert not _left(f"{path}/_dealt") and not _left(f"{log}/_dealt")
 
 
 def test_hot_keys_are_reduced_before_and_all_rows_are_seen_once(spark, tmp_path):
