@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from medallion.operators.cdc import CdcSpec, build_target
 from medallion.operators.dealing import SLOT, dealt, hot_hashes, slot_of
+from medallion.plans.rides import STAR_SPECS, dealt_star, default_lookups, one_big_table, star_buckets
+from medallion.schemas import RIDE
+from medallion.sources.tables import Buckets
 from medallion.streaming import changelog, targets
 
 SPEC = CdcSpec("fine", ["k", "v"], ["k"], "s")
@@ -71,3 +74,25 @@ def test_a_slot_is_the_bucket_of_its_number(spark, tmp_path):
     with dealt(slotted, SPEC, [SLOT], 12, str(tmp_path)) as by_slot:
         assert "Exchange" not in _plan(by_slot.groupBy("k", SLOT).agg(F.count(F.lit(1))))
         assert by_slot.select(F.pmod(F.hash(SLOT), F.lit(12)) != F.col("part")).distinct().collect() == [(False,)]
+
+
+def _wide(spark, path):
+    rides = spark.range(40).select(
+        *(F.concat(F.lit(f.name), F.col("id") % 30).cast(f.dataType).alias(f.name) if f.dataType.simpleString() == "string"
+          else F.lit(None).cast(f.dataType).alias(f.name) for f in RIDE.fields)
+    ).withColumns({"pickup_city_id": F.lit(1).cast("bigint"), "payment_method_id": F.lit(2).cast("bigint")})
+    one_big_table(rides, default_lookups(spark)).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_tables_with_a_layout_are_dealt_out_once(spark, tmp_path):
+    obt = _wide(spark, f"{tmp_path}/obt")
+    count = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    with dealt_star(obt, f"{tmp_path}/root", star_buckets(count)) as star:
+        for spec in STAR_SPECS:
+            assert rows(star[spec.name]) == rows(build_target(obt, spec))
+        for name in ("fact", "dim_booking"):
+            assert "Exchange" not in _plan(star[name].repartition("ride_id"))
+    assert not _left(f"{tmp_path}/root")
+    with dealt_star(obt, f"{tmp_path}/root", {"dim_payment": Buckets(2, ["payment_method_id"])}) as star:
+        assert rows(star["dim_payment"]) == rows(build_target(obt, next(s for s in STAR_SPECS if s.name == "dim_payment")))
