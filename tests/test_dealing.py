@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from medallion.operators.cdc import CdcSpec, build_target
 from medallion.operators.dealing import SLOT, dealt, hot_hashes, slot_of
+from medallion.plans import pipeline
 from medallion.plans.rides import STAR_SPECS, dealt_star, default_lookups, one_big_table, star_buckets
 from medallion.schemas import RIDE
 from medallion.sources.tables import Buckets
@@ -96,3 +97,15 @@ def test_tables_with_a_layout_are_dealt_out_once(spark, tmp_path):
     assert not _left(f"{tmp_path}/root")
     with dealt_star(obt, f"{tmp_path}/root", {"dim_payment": Buckets(2, ["payment_method_id"])}) as star:
         assert rows(star["dim_payment"]) == rows(build_target(obt, next(s for s in STAR_SPECS if s.name == "dim_payment")))
+
+
+def test_a_batch_stores_fine_targets_without_a_shuffle(spark, tmp_path, monkeypatch):
+    plans, stored = {}, pipeline._stored
+    monkeypatch.setattr(pipeline, "_stored", lambda df, path: (plans.update({path: _plan(df)}), stored(df, path))[1])
+    raw = spark.sql("SELECT cast(null AS binary) AS key, cast(concat('{\"ride_id\":\"r', id % 3, '\"}') AS binary) AS value FROM range(9)")
+    lake = pipeline.Lake(f"{tmp_path}/lake")
+    booking = next(s for s in STAR_SPECS if s.name == "dim_booking")
+    tables = pipeline.run_batch(raw, default_lookups(spark), lake, specs=[booking])
+    assert rows(tables["dim_booking"].select("ride_id")) == [("r0",), ("r1",), ("r2",)]
+    assert "Exchange" not in plans[lake.table("dim_booking")]
+    assert not _left(f"{lake.root}/_dealt")
