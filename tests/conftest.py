@@ -29,6 +29,14 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+@pytest.fixture(autouse=True, scope="module")
+def own_views(spark):
+    """Temporary views of one module are not listed among another's tables."""
+    yield
+    for view in [t.name for t in spark.catalog.listTables() if t.isTemporary]:
+        spark.catalog.dropTempView(view)
+
+
 def rows(df):
     """Rows as sorted tuples, nulls first."""
     found = [tuple(r) for r in df.collect()]
